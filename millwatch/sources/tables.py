@@ -7,6 +7,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..session import scratch_path
+
 
 def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
     """Selects the schema's columns in order and type; absent columns become NULL."""
@@ -26,12 +28,32 @@ def append(df: DataFrame, path: str, schema: T.StructType) -> None:
 def write_batch(
     df: DataFrame, path: str, batch_id: int, schema: T.StructType, by_date: str | None = None
 ) -> None:
-    """Writes one micro-batch under its own id, so that a repeated batch replaces itself."""
-    out = conform(df, schema)
-    writer = out.write
+    """Writes one micro-batch under its own id, so that a repeated batch replaces itself.
+
+    With ``by_date`` the table is laid out by day first, which lets time filters skip days.
+    """
+    out = conform(df, schema).withColumn("batch_id", F.lit(batch_id).cast("bigint"))
+    layout = ["batch_id"]
     if by_date:
-        writer = out.withColumn("date", F.to_date(by_date)).write.partitionBy("date")
-    writer.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+        out = out.withColumn("date", F.to_date(by_date))
+        layout = ["date", "batch_id"]
+    (
+        out.write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy(*layout)
+        .parquet(path)
+    )
+
+
+def materialise(df: DataFrame, name: str) -> DataFrame:
+    """Writes ``df`` to the shared scratch folder and reads it back.
+
+    What follows reads a finished table instead of recomputing its history, also after
+    executors were lost.
+    """
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def read(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
