@@ -16,6 +16,15 @@ MAX_SENSORS = 10_000
 _KEY = ("machine_id", "failure_id")
 
 
+def only_failing_values(readings: DataFrame) -> DataFrame:
+    """Empties the values of normal readings.
+
+    Episodes need the normal readings' times but not their values; applied before
+    ``link_episodes`` this keeps most of the payload out of the shuffle.
+    """
+    return readings.withColumn("values", F.when(F.col("has_failure"), F.col("values")))
+
+
 def episode_stats(linked: DataFrame) -> DataFrame:
     """Mean, population deviation, min and max per episode and sensor, plus the duration.
 

@@ -1,0 +1,29 @@
+"""The runnable queries, each with the SQL that must give the same rows."""
+
+from __future__ import annotations
+
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
+
+Query = Callable[[SparkSession, str], DataFrame]
+
+QUERIES: dict[str, Query] = {}
+SQL: dict[str, str] = {}
+
+
+def query(sql: str | None = None) -> Callable[[Query], Query]:
+    """Registers a query under its function name."""
+
+    def add(run: Query) -> Query:
+        QUERIES[run.__name__] = run
+        if sql is not None:
+            SQL[run.__name__] = sql
+        return run
+
+    return add
+
+
+def load() -> None:
+    """Imports the query modules."""
+    from . import on_drift, on_ingest, on_models, on_monitoring, on_scoring, on_streams  # noqa: F401

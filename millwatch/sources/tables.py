@@ -74,5 +74,22 @@ def read_batches(
     return read(spark, path, full.add("date", T.DateType()) if by_date else full)
 
 
+def read_batch(
+    spark: SparkSession, path: str, schema: T.StructType, batch_id: int, by_date: bool = False
+) -> DataFrame:
+    """One micro-batch of such a table, without listing the others."""
+    part = f"{path}/date=*/batch_id={batch_id}" if by_date else f"{path}/batch_id={batch_id}"
+    return read(spark, part, schema)
+
+
+def slot(path: str, batch_id: int) -> str:
+    """Folder of the state after a micro-batch.
+
+    Two folders alternate: a micro-batch reads one and replaces the other, so a repeated one
+    still finds what it read before.
+    """
+    return f"{path}/slot={batch_id % 2}"
+
+
 def write_json(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").json(path)

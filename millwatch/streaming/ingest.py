@@ -78,11 +78,11 @@ def ingest_batch(
         carried = state.join(on_time.select("machine_id").distinct(), "machine_id", "left_semi")
         linked = link_episodes(on_time, carried, rows_per_cell)
         tables.write_batch(linked, f"{root}/linked", batch_id, LINKED, by_date="timestamp")
-        stored = tables.read_batches(spark, f"{root}/linked", LINKED, by_date=True).filter(
-            F.col("batch_id") == batch_id
-        )
+        stored = tables.read_batch(spark, f"{root}/linked", LINKED, batch_id, by_date=True)
         tables.write_batch(failures(stored), f"{root}/failures", batch_id, FAILURES)
-        next_state(state, stored).write.mode("overwrite").parquet(_slot(root, batch_id))
+        next_state(state, stored).write.mode("overwrite").parquet(
+            tables.slot(f"{root}/state", batch_id)
+        )
     finally:
         decoded.unpersist()
 
@@ -115,8 +115,8 @@ def next_state(state: DataFrame, linked: DataFrame) -> DataFrame:
 
 
 def read_state(spark: SparkSession, root: str, batch_id: int) -> DataFrame:
-    """State after ``batch_id``; two slots alternate, so a repeated batch still finds its input."""
-    return tables.read(spark, _slot(root, batch_id), STATE)
+    """State after ``batch_id``."""
+    return tables.read(spark, tables.slot(f"{root}/state", batch_id), STATE)
 
 
 def current_readings(spark: SparkSession, root: str) -> DataFrame:
@@ -131,6 +131,3 @@ def current_failures(spark: SparkSession, root: str) -> DataFrame:
 def current_machines(spark: SparkSession, root: str, batch_id: int) -> DataFrame:
     return tables.conform(read_state(spark, root, batch_id), MACHINES)
 
-
-def _slot(root: str, batch_id: int) -> str:
-    return f"{root}/state/slot={batch_id % 2}"

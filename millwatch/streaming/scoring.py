@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -55,10 +55,7 @@ def score_batch(
 ) -> None:
     """Scores the new readings of a micro-batch and extends distributions and drift events."""
     spark = batch.sparkSession
-    k = len(model.centroids)
     span = batch.agg(F.min("timestamp").alias("lo"), F.max("timestamp").alias("hi")).first()
-    if span["lo"] is None:
-        return
     # only the days of this batch can hold earlier predictions of its readings
     day = F.col("date")
     earlier = tables.read_batches(spark, f"{root}/predictions", PREDICTIONS, by_date=True).filter(
@@ -69,14 +66,11 @@ def score_batch(
     scored = sc.score(sc.unscored(batch, earlier), model)
     rows = sc.to_predictions(scored, model, F.current_timestamp())
     tables.write_batch(rows, f"{root}/predictions", batch_id, PREDICTIONS, by_date="timestamp")
-    stored = tables.read_batches(spark, f"{root}/predictions", PREDICTIONS, by_date=True).filter(
-        (F.col("batch_id") == batch_id)
-    )
-    update_drift(spark, stored, batch_id, root, k, batch_size, window, threshold)
+    stored = tables.read_batch(spark, f"{root}/predictions", PREDICTIONS, batch_id, by_date=True)
+    update_drift(stored, batch_id, root, len(model.centroids), batch_size, window, threshold)
 
 
 def update_drift(
-    spark: SparkSession,
     predictions: DataFrame,
     batch_id: int,
     root: str,
@@ -87,22 +81,25 @@ def update_drift(
 ) -> None:
     """Adds the distributions of new predictions and the drift events they cause.
 
-    Batches are numbered on from those already stored; only the last window and the first one,
-    which is the reference, are read back.
+    The state read back holds the first window of batches, which is the reference, and the last
+    one: two windows of rows however long the stream has run.
     """
-    path = f"{root}/distributions"
-    known = tables.read_batches(spark, path, DISTRIBUTIONS).filter(F.col("batch_id") < batch_id)
-    first = (known.agg(F.max("batch_no")).first()[0] if batch_id else None)
-    first = 0 if first is None else first + 1
+    spark = predictions.sparkSession
+    state = tables.read(spark, tables.slot(f"{root}/drift_state", batch_id - 1), DISTRIBUTIONS)
+    last = state.agg(F.max("batch_no")).first()[0]
+    first_new = 0 if last is None else last + 1
     numbered = sc.with_batch_no(predictions, batch_size).withColumn(
-        "batch_no", F.col("batch_no") + first
+        "batch_no", F.col("batch_no") + first_new
     )
+    path = f"{root}/distributions"
     tables.write_batch(dr.batch_distribution(numbered, k), path, batch_id, DISTRIBUTIONS)
-    stored = tables.read_batches(spark, path, DISTRIBUTIONS).filter(F.col("batch_id") <= batch_id)
-    reference = dr.reference_distribution(stored, k, window)
-    recent = stored.filter(F.col("batch_no") > first - window).drop("batch_id")
-    series = dr.drift_series(recent, k, window, threshold, reference).filter(
-        F.col("batch_no") >= first
-    )
-    events = dr.drift_events(series, F.current_timestamp())
+    fresh = tables.read_batch(spark, path, DISTRIBUTIONS, batch_id)
+    known = state.unionByName(tables.conform(fresh, DISTRIBUTIONS))
+    reference = dr.reference_distribution(known, k, window)
+    recent = known.filter(F.col("batch_no") > first_new - window)
+    series = dr.drift_series(recent, k, window, threshold, reference)
+    events = dr.drift_events(series.filter(F.col("batch_no") >= first_new), F.current_timestamp())
     tables.write_batch(events, f"{root}/drift", batch_id, DRIFT)
+    newest = known.agg(F.max("batch_no")).scalar()
+    kept = known.filter((F.col("batch_no") < window) | (F.col("batch_no") > newest - window))
+    kept.coalesce(1).write.mode("overwrite").parquet(tables.slot(f"{root}/drift_state", batch_id))
