@@ -5,10 +5,8 @@ Vectors stay distributed; only results of the size of the model (k x features) r
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass, field
-from functools import reduce
-from operator import add
 
 import numpy as np
 import pandas as pd
@@ -24,8 +22,8 @@ from ..functions.scale import bounded_rows
 from ..schemas import MODEL_CENTROIDS, MODEL_SCALER
 
 MAX_MODEL_ROWS = 1_000_000
-# Above this many centroid entries distances are computed by array functions, not unrolled.
-MAX_UNROLLED = 4_000
+# Up to this many vector or centroid entries arithmetic is unrolled into generated code.
+MAX_UNROLLED = 300
 # Points per side of a silhouette cell.
 SILHOUETTE_BLOCK = 2_048
 
@@ -64,42 +62,39 @@ def scale_vectors(
     vectors: DataFrame, mean: Sequence[float], scale: Sequence[float], column: str = "features"
 ) -> DataFrame:
     """Replaces ``column`` by its standardised values."""
-    return vectors.withColumn(column, scaled(F.col(column), mean, scale))
+    return vectors.withColumn(column, scaled(column, mean, scale))
 
 
-def scaled(x: Column, mean: Sequence[float], scale: Sequence[float]) -> Column:
+def scaled(column: str, mean: Sequence[float], scale: Sequence[float]) -> Column:
+    """The standardised vector of ``column``."""
     if len(mean) <= MAX_UNROLLED:
-        parts = [(x[i] - m) / s for i, (m, s) in enumerate(zip(mean, scale, strict=True))]
-        return F.array(*parts)
-    centred = F.zip_with(x, _doubles(mean), lambda a, m: a - m)
-    return F.zip_with(centred, _doubles(scale), lambda a, s: a / s)
+        parts = [
+            f"({column}[{i}] - {_number(m)}) / {_number(s)}"
+            for i, (m, s) in enumerate(zip(mean, scale, strict=True))
+        ]
+        return F.expr(f"array({', '.join(parts)})")
+    centred = F.zip_with(column, F.lit(list(mean)), lambda a, m: a - m)
+    return F.zip_with(centred, F.lit(list(scale)), lambda a, s: a / s)
 
 
-def nearest(x: Column, centroids: Sequence[Sequence[float]]) -> Column:
+def nearest(column: str, centroids: Sequence[Sequence[float]]) -> Column:
     """``struct(sq_distance, cluster_id)`` of the closest centroid; ties go to the lower id.
 
-    The centroids are constants of the expression: no join, no shuffle, one pass.
+    The centroids are constants of the expression: no join, no shuffle, one pass. Small models
+    become generated code; larger ones run as one matrix operation per Arrow batch.
     """
-    width = len(centroids[0])
-    if len(centroids) * width <= MAX_UNROLLED:
-        squares = [
-            reduce(add, [(x[i] - c) * (x[i] - c) for i, c in enumerate(centre)])
-            for centre in centroids
-        ]
-    else:
-        squares = [
-            F.aggregate(
-                F.zip_with(x, _doubles(centre), lambda a, c: (a - c) * (a - c)),
-                F.lit(0.0),
-                lambda total, part: total + part,
-            )
-            for centre in centroids
-        ]
-    candidates = [
-        F.struct(square.alias("sq_distance"), F.lit(i).alias("cluster_id"))
-        for i, square in enumerate(squares)
-    ]
-    return F.array_min(F.array(*candidates))
+    if len(centroids) * len(centroids[0]) > MAX_UNROLLED:
+        return _nearest_in_batches(np.array(centroids, dtype=float))(F.col(column))
+    candidates = []
+    for cluster, centre in enumerate(centroids):
+        square = " + ".join(
+            f"({column}[{i}] - {_number(c)}) * ({column}[{i}] - {_number(c)})"
+            for i, c in enumerate(centre)
+        )
+        candidates.append(
+            f"named_struct('sq_distance', {square}, 'cluster_id', {cluster})"
+        )
+    return F.expr(f"array_min(array({', '.join(candidates)}))")
 
 
 def assign(
@@ -107,7 +102,7 @@ def assign(
 ) -> DataFrame:
     """Adds ``cluster_id`` and ``sq_distance`` of the nearest centroid."""
     return (
-        vectors.withColumn("_near", nearest(F.col(column), centroids))
+        vectors.withColumn("_near", nearest(column, centroids))
         .withColumn("cluster_id", F.col("_near.cluster_id"))
         .withColumn("sq_distance", F.col("_near.sq_distance"))
         .drop("_near")
@@ -116,7 +111,7 @@ def assign(
 
 def cluster_means(assigned: DataFrame, width: int, column: str = "features") -> DataFrame:
     """Size and mean vector per cluster, combined before the shuffle into k rows per task."""
-    means = F.array(*[F.avg(F.col(column)[i]) for i in range(width)])
+    means = F.expr(f"array({', '.join(f'avg({column}[{i}])' for i in range(width))})")
     return assigned.groupBy("cluster_id").agg(
         F.count(F.lit(1)).alias("size"), means.alias("means")
     )
@@ -306,5 +301,26 @@ def _sums_towards(points: pd.DataFrame, targets: pd.DataFrame) -> Iterator[pd.Da
         )
 
 
-def _doubles(values: Sequence[float]) -> Column:
-    return F.lit([float(v) for v in values])
+def _nearest_in_batches(centres: np.ndarray) -> Callable[[Column], Column]:
+    @F.pandas_udf("sq_distance double, cluster_id int")
+    def near(x: pd.Series) -> pd.DataFrame:
+        points = np.stack(x.to_numpy())
+        rows = max(1, 4_000_000 // centres.size)
+        ids, squares = [], []
+        for i in range(0, len(points), rows):
+            d = ((points[i : i + rows, None, :] - centres[None, :, :]) ** 2).sum(axis=2)
+            ids.append(d.argmin(axis=1))
+            squares.append(d.min(axis=1))
+        return pd.DataFrame(
+            {
+                "sq_distance": np.concatenate(squares),
+                "cluster_id": np.concatenate(ids).astype("int32"),
+            }
+        )
+
+    return near
+
+
+def _number(value: float) -> str:
+    """A double as an exact SQL literal."""
+    return f"({value!r}D)"

@@ -110,8 +110,12 @@ def cluster_profiles(means: DataFrame, best: DataFrame | None = None) -> DataFra
 def profiles_json(profiles: DataFrame) -> DataFrame:
     """All profiles as one JSON object keyed by cluster name."""
     body = F.struct("size", "distinctive_features", "all_features", "label_comparison")
+    entries = F.collect_list(F.struct(F.col("cluster_name"), body.alias("profile")))
     by_name = F.map_from_entries(
-        F.array_sort(F.collect_list(F.struct(F.col("cluster_name"), body)))
+        F.array_sort(
+            entries,
+            lambda a, b: F.when(a["cluster_name"] < b["cluster_name"], -1).otherwise(1),
+        )
     )
     return profiles.agg(F.to_json(by_name).alias("json"))
 

@@ -48,8 +48,8 @@ def score(readings: DataFrame, model: Model) -> DataFrame:
     """Adds ``cluster_id`` in one pass over the readings, without join or shuffle."""
     return (
         readings.withColumn("_x", reading_vector(model.features))
-        .withColumn("_x", scaled(F.col("_x"), model.mean, model.scale))
-        .withColumn("cluster_id", nearest(F.col("_x"), model.centroids)["cluster_id"])
+        .withColumn("_x", scaled("_x", model.mean, model.scale))
+        .withColumn("cluster_id", nearest("_x", model.centroids)["cluster_id"])
         .drop("_x")
     )
 

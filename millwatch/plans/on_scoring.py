@@ -1 +1,173 @@
-"""Queries."""
+"""Queries on scoring."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from ..operators import describe as ds
+from ..operators import scoring as sc
+from . import driver_views as views
+from .catalog import query
+from .driver_views import READINGS_SQL
+from .on_ingest import as_of, ntz
+from .on_models import episode_model
+from .sql_parts import FEATURES, MODEL_ROUNDS, MODEL_SQL, nearest_sql
+
+
+def past_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Earlier predictions: views were scored by version 1, signups by version 2."""
+    kind = F.col("event_type")
+    return (
+        views.table(spark, sf_dir, "events")
+        .filter(kind.isin("view", "signup"))
+        .select(
+            F.col("event_id").alias("reading_id"),
+            F.when(kind == "view", "1").otherwise("2").alias("model_version"),
+        )
+    )
+
+
+PAST_SQL = """past AS (
+  SELECT event_id AS reading_id, CASE event_type WHEN 'view' THEN '1' ELSE '2' END AS model_version
+  FROM events WHERE event_type IN ('view', 'signup'))"""
+
+
+@query(
+    f"""WITH {READINGS_SQL}, {PAST_SQL}
+SELECT reading_id, machine_id, "timestamp" FROM readings r
+WHERE NOT has_failure AND NOT EXISTS (SELECT 1 FROM past p WHERE p.reading_id = r.reading_id)"""
+)
+def unscored_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    left = sc.unscored(views.readings(spark, sf_dir), past_predictions(spark, sf_dir))
+    return left.select("reading_id", "machine_id", ntz("timestamp"))
+
+
+@query(
+    f"""WITH {READINGS_SQL}, {PAST_SQL}
+SELECT reading_id, machine_id, "timestamp" FROM readings r
+WHERE NOT has_failure
+  AND NOT EXISTS (SELECT 1 FROM past p WHERE p.reading_id = r.reading_id AND p.model_version = '2')"""
+)
+def unscored_by_version(spark: SparkSession, sf_dir: str) -> DataFrame:
+    left = sc.unscored(
+        views.readings(spark, sf_dir), past_predictions(spark, sf_dir), rescore_version="2"
+    )
+    return left.select("reading_id", "machine_id", ntz("timestamp"))
+
+
+@query(
+    f"""WITH {READINGS_SQL}, {PAST_SQL}
+SELECT reading_id, "timestamp" FROM readings r
+WHERE NOT has_failure AND NOT EXISTS (SELECT 1 FROM past p WHERE p.reading_id = r.reading_id)
+ORDER BY "timestamp", reading_id LIMIT 100"""
+)
+def oldest_unscored_topn(spark: SparkSession, sf_dir: str) -> DataFrame:
+    left = sc.unscored(views.readings(spark, sf_dir), past_predictions(spark, sf_dir))
+    return sc.oldest(left).select("reading_id", ntz("timestamp"))
+
+
+@query(
+    f"""WITH {READINGS_SQL},
+numbered AS (SELECT *, (row_number() OVER (ORDER BY "timestamp", reading_id) - 1) // 100 AS batch_no
+             FROM readings WHERE NOT has_failure)
+SELECT CAST(batch_no AS BIGINT) AS batch_no, reading_id FROM numbered"""
+)
+def scoring_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    normal = views.readings(spark, sf_dir).filter(~F.col("has_failure"))
+    return sc.with_batch_no(normal).select("batch_no", "reading_id")
+
+
+_SINGLE = {
+    "Sensor 1_mean": "s1", "Sensor 1_std": "0.0", "Sensor 1_min": "s1", "Sensor 1_max": "s1",
+    "Sensor 2_mean": "coalesce(s2, 0.0)", "Sensor 2_std": "0.0",
+    "Sensor 2_min": "coalesce(s2, 0.0)", "Sensor 2_max": "coalesce(s2, 0.0)",
+    "duration": "0.0",
+}
+_VECTOR = ", ".join(
+    f"CAST({_SINGLE[name]} AS DOUBLE) AS f{i}" for i, name in enumerate(FEATURES)
+)
+
+
+@query(
+    f"""WITH {READINGS_SQL}
+SELECT reading_id, {_VECTOR} FROM readings WHERE NOT has_failure"""
+)
+def single_reading_features(spark: SparkSession, sf_dir: str) -> DataFrame:
+    normal = views.readings(spark, sf_dir).filter(~F.col("has_failure"))
+    return normal.select("reading_id", sc.reading_vector(FEATURES).alias("x")).select(
+        "reading_id", *[F.col("x")[i].alias(f"f{i}") for i in range(len(FEATURES))]
+    )
+
+
+_LONG_VECTOR = " UNION ALL ".join(
+    f"SELECT reading_id AS id, {i} AS pos, CAST({_SINGLE[name]} AS DOUBLE) AS raw "
+    "FROM readings WHERE NOT has_failure"
+    for i, name in enumerate(FEATURES)
+)
+SCORED_SQL = f"""{MODEL_SQL},
+vectors AS ({_LONG_VECTOR}),
+new_points AS MATERIALIZED (
+  SELECT id, pos, (raw - mean) / scale AS x FROM vectors JOIN scaler ON scaler.feature_pos = pos),
+{nearest_sql("scored", "new_points", f"c{MODEL_ROUNDS}")}"""
+
+
+def scored(spark: SparkSession, sf_dir: str) -> DataFrame:
+    model, _ = episode_model(spark, sf_dir)
+    normal = views.readings(spark, sf_dir).filter(~F.col("has_failure"))
+    return sc.score(normal, model)
+
+
+@query(
+    f"""WITH {SCORED_SQL}
+SELECT id AS reading_id, CAST(cluster_id AS INT) AS cluster_id FROM scored"""
+)
+def score_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scored(spark, sf_dir).select("reading_id", "cluster_id")
+
+
+@query(
+    f"""WITH {SCORED_SQL}
+SELECT id AS reading_id, CAST(cluster_id AS INT) AS cluster_id, '2' AS model_version,
+       CAST(NULL AS DOUBLE) AS confidence_score, 'run-1' AS run_id,
+       'sensor_failure_clustering' AS model_name
+FROM scored"""
+)
+def prediction_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Predictions of readings delivered twice: still one per reading and version."""
+    model, _ = episode_model(spark, sf_dir)
+    normal = views.readings(spark, sf_dir).filter(~F.col("has_failure"))
+    twice = sc.score(normal.unionAll(normal), model)
+    return sc.to_predictions(twice, model, as_of()).drop(
+        "machine_id", "timestamp", "prediction_time"
+    )
+
+
+@query(
+    f"""WITH {SCORED_SQL},
+batches AS (SELECT reading_id, (row_number() OVER (ORDER BY "timestamp", reading_id) - 1) // 100 AS batch_no
+             FROM readings WHERE NOT has_failure)
+SELECT CAST(batch_no AS BIGINT) AS batch_no, CAST(count(*) AS BIGINT) AS n_processed,
+       CAST(count(DISTINCT cluster_id) AS BIGINT) AS n_clusters
+FROM scored JOIN batches ON batches.reading_id = scored.id GROUP BY batch_no"""
+)
+def batch_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sc.batch_summary(sc.with_batch_no(scored(spark, sf_dir)))
+
+
+@query(
+    f"""WITH {SCORED_SQL}
+SELECT s.id AS reading_id, CAST(s.cluster_id AS INT) AS cluster_id, CAST(m.size AS BIGINT) AS size,
+       CASE WHEN m.size IS NULL THEN 'Cluster ' || CAST(s.cluster_id AS VARCHAR) || ' not found in profiles'
+       END AS error
+FROM scored s LEFT JOIN (SELECT DISTINCT cluster_id, size FROM means WHERE cluster_id <> 1) m
+  ON m.cluster_id = s.cluster_id"""
+)
+def cluster_describe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every prediction with its cluster's profile; cluster 1 is left without one."""
+    model, assigned = episode_model(spark, sf_dir)
+    normal = views.readings(spark, sf_dir).filter(~F.col("has_failure"))
+    means = ds.profile_means(assigned.filter(F.col("cluster_id") != 1), FEATURES)
+    return ds.describe_predictions(sc.score(normal, model), ds.cluster_profiles(means)).select(
+        "reading_id", "cluster_id", "size", "error"
+    )

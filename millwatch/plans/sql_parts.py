@@ -80,7 +80,7 @@ def nearest_sql(name: str, points: str, centroids: str) -> str:
 
 
 def silhouette_sql(distance: str) -> str:
-    """Mean silhouette of ``labeled(id, cluster_id)`` over ``points``; ``distance`` of the sum d."""
+    """Mean silhouette of ``labeled(id, cluster_id)`` over ``points``; ``distance`` of ``pairs.d``."""
     return f"""pairs AS (
   SELECT p.id, q.id AS other, sum((p.x - q.x) * (p.x - q.x)) AS d
   FROM points p JOIN points q ON p.pos = q.pos AND p.id <> q.id GROUP BY p.id, q.id),

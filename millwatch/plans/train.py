@@ -63,7 +63,7 @@ def train(
     centroids = fit(points, k)
     model = cl.Model(names, mean, scale, centroids, run_id=run_id, version=version)
     assigned = cl.assign(
-        vectors.withColumn("_x", cl.scaled(F.col("features"), mean, scale)), centroids, "_x"
+        vectors.withColumn("_x", cl.scaled("features", mean, scale)), centroids, "_x"
     )
     labeled = assigned.select("failure_id", "cluster_id", F.col("_x").alias("features"))
     if exact_silhouette:
