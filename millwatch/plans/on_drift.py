@@ -23,30 +23,35 @@ PREDICTED_SQL = f"""predicted AS (
          (row_number() OVER (ORDER BY ts, event_id) - 1) // 100 AS batch_no
   FROM events WHERE event_type <> 'error')"""
 
-SERIES_SQL = f"""{PREDICTED_SQL},
-grid AS (SELECT DISTINCT batch_no, c AS cluster_id FROM predicted, range({K}) t(c)),
+
+def series_sql(k: int, window: int) -> str:
+    """``dist``, ``reference``, ``rolled`` and ``scores`` from ``predicted(batch_no, cluster_id)``."""
+    return f"""grid AS (SELECT DISTINCT batch_no, c AS cluster_id FROM predicted, range({k}) t(c)),
 counts AS (SELECT batch_no, cluster_id, count(*) AS n FROM predicted GROUP BY ALL),
 dist AS MATERIALIZED (
   SELECT g.batch_no, g.cluster_id,
          coalesce(n, 0) / sum(coalesce(n, 0)) OVER (PARTITION BY g.batch_no) AS freq
   FROM grid g LEFT JOIN counts c ON c.batch_no = g.batch_no AND c.cluster_id = g.cluster_id),
 reference AS MATERIALIZED (
-  SELECT cluster_id, sum(freq) / {WINDOW} AS freq FROM dist WHERE batch_no < {WINDOW} GROUP BY cluster_id),
+  SELECT cluster_id, sum(freq) / {window} AS freq FROM dist WHERE batch_no < {window} GROUP BY cluster_id),
 rolled AS (
   SELECT batch_no, cluster_id, avg(freq) OVER (
-           PARTITION BY cluster_id ORDER BY batch_no ROWS {WINDOW - 1} PRECEDING) AS freq
+           PARTITION BY cluster_id ORDER BY batch_no ROWS {window - 1} PRECEDING) AS freq
   FROM dist),
 both_sides AS (
   SELECT w.batch_no, w.freq AS p, r.freq AS q, (w.freq + r.freq) / 2 AS m
   FROM rolled w JOIN reference r USING (cluster_id)),
 scores AS MATERIALIZED (
   SELECT batch_no,
-         CASE WHEN batch_no < {WINDOW - 1} THEN 0.0 ELSE least(1.0, greatest(0.0,
+         CASE WHEN batch_no < {window - 1} THEN 0.0 ELSE least(1.0, greatest(0.0,
            (sum(CASE WHEN p > 0 AND m > 0 THEN p * ln(p / m) ELSE 0 END)
             + sum(CASE WHEN q > 0 AND m > 0 THEN q * ln(q / m) ELSE 0 END)) / 2)) END AS score
   FROM both_sides GROUP BY batch_no)"""
 
 
+SERIES_SQL = f"{PREDICTED_SQL},\n{series_sql(K, WINDOW)}"
+
+
 def predicted(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Normal readings with a stand-in cluster."""
     kind = F.col("event_type")
@@ -126,11 +131,12 @@ def drift_series(spark: SparkSession, sf_dir: str) -> DataFrame:
     return series(spark, sf_dir).select("batch_no", r6("drift_score", "drift_score"), "is_drift")
 
 
-EVENTS_SQL = f"""SELECT CAST(s.batch_no AS BIGINT) AS batch_no, round(s.score, 6) AS drift_score,
+def events_sql(threshold: float) -> str:
+    return f"""SELECT CAST(s.batch_no AS BIGINT) AS batch_no, round(s.score, 6) AS drift_score,
        CAST(d.cluster_id AS INT) AS cluster_id, round(d.freq, 6) AS current,
        round(r.freq, 6) AS reference
 FROM scores s JOIN dist d USING (batch_no) JOIN reference r ON r.cluster_id = d.cluster_id
-WHERE s.score > {THRESHOLD}"""
+WHERE s.score > {threshold}"""
 
 
 def events_long(events: DataFrame) -> DataFrame:
@@ -148,7 +154,7 @@ def events_long(events: DataFrame) -> DataFrame:
     )
 
 
-@query(f"WITH {SERIES_SQL} {EVENTS_SQL}")
+@query(f"WITH {SERIES_SQL} {events_sql(THRESHOLD)}")
 def drift_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return events_long(dr.drift_events(series(spark, sf_dir), as_of()))
 

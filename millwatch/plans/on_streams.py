@@ -1 +1,192 @@
-"""Queries."""
+"""Streaming queries: the tables arrive in parts, each run resumes from the checkpoint."""
+
+from __future__ import annotations
+
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from ..operators.episodes import link_episodes
+from ..schemas import DRIFT, PREDICTIONS
+from ..session import scratch_path
+from ..sources import messages, tables
+from ..streaming import ingest, rates, scoring
+from . import driver_views as views
+from . import train as tr
+from .catalog import query
+from .on_drift import PREDICTED_SQL, events_long, events_sql, predicted, series_sql
+from .on_ingest import as_of, ntz
+from .on_models import training
+from .on_scoring import SCORED_SQL
+from .sql_parts import EPISODES_SQL, MODEL_K
+
+# Days of data that arrive together.
+PART_DAYS = 8
+PARTS = 4
+DRIFT_SPAN = 10
+DRIFT_LIMIT = 0.0005
+DELAY_MINUTES = 10
+
+
+def in_parts(df: DataFrame, write: Callable[[DataFrame], None], run: Callable[[], None]) -> None:
+    """Writes the rows in time order, part by part, and runs the stream after each part."""
+    day = F.date_diff(F.col("timestamp"), F.lit("2024-01-01"))
+    for part in range(PARTS):
+        write(df.filter(F.floor(day / PART_DAYS) == part))
+        run()
+
+
+def ingested(spark: SparkSession, sf_dir: str) -> str:
+    """Events sent as messages and ingested in parts; gives the folder of the tables."""
+    root = scratch_path(spark, "ingest")
+
+    def send(part: DataFrame) -> None:
+        messages.encode(part).select("value").write.mode("append").text(f"{root}/inbox")
+
+    def run() -> None:
+        raw = messages.file_stream(spark, f"{root}/inbox")
+        ingest.start_ingest(raw, root, f"{root}/checkpoint").awaitTermination()
+
+    in_parts(views.readings(spark, sf_dir), send, run)
+    return root
+
+
+@query(
+    f"""WITH {EPISODES_SQL}
+SELECT machine_id, start_time, end_time, is_active, n_readings FROM failures"""
+)
+def stream_episodes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = ingest.current_failures(spark, ingested(spark, sf_dir))
+    return found.select(
+        "machine_id", ntz("start_time"), ntz("end_time"), "is_active", "n_readings"
+    )
+
+
+@query(
+    f"""WITH {EPISODES_SQL}
+SELECT r.machine_id, r."timestamp", r.has_failure, m.start_time AS failure_start
+FROM readings r LEFT JOIN members m ON m.reading_id = r.reading_id"""
+)
+def stream_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = ingest.current_readings(spark, ingested(spark, sf_dir))
+    return found.select("machine_id", ntz("timestamp"), "has_failure", ntz("failure_start"))
+
+
+@query(
+    """SELECT 'm' || CAST(user_id AS VARCHAR) AS machine_id, min(ts) AS first_seen, max(ts) AS last_seen
+FROM events GROUP BY user_id"""
+)
+def stream_machines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = ingest.current_machines(spark, ingested(spark, sf_dir), PARTS - 1)
+    return found.select("machine_id", ntz("first_seen"), ntz("last_seen"))
+
+
+def scored_stream(spark: SparkSession, sf_dir: str) -> str:
+    """Linked readings arriving in parts, scored by a published model."""
+    root = scratch_path(spark, "scoring")
+    tr.publish(spark, root, training(spark, sf_dir, exact=False), as_of())
+    rows = tables.conform(link_episodes(views.readings(spark, sf_dir)), ingest.LINKED)
+
+    def send(part: DataFrame) -> None:
+        part.write.mode("append").parquet(f"{root}/readings")
+
+    def run() -> None:
+        stream = spark.readStream.schema(ingest.LINKED).parquet(f"{root}/readings")
+        scoring.start_scoring(
+            stream, root, f"{root}/checkpoint", window=DRIFT_SPAN, threshold=DRIFT_LIMIT
+        ).awaitTermination()
+
+    in_parts(rows, send, run)
+    return root
+
+
+@query(
+    f"""WITH {SCORED_SQL}
+SELECT id AS reading_id, CAST(cluster_id AS INT) AS cluster_id, '1' AS model_version FROM scored"""
+)
+def stream_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    root = scored_stream(spark, sf_dir)
+    found = tables.read_batches(spark, f"{root}/predictions", PREDICTIONS, by_date=True)
+    return found.select("reading_id", "cluster_id", "model_version")
+
+
+@query(
+    f"""WITH {SCORED_SQL},
+parts AS (
+  SELECT reading_id, "timestamp", datediff('day', DATE '2024-01-01', CAST("timestamp" AS DATE)) // {PART_DAYS} AS part
+  FROM readings WHERE NOT has_failure),
+batches AS (
+  SELECT reading_id, part,
+         (row_number() OVER (PARTITION BY part ORDER BY "timestamp", reading_id) - 1) // 100 AS nth
+  FROM parts),
+predicted AS (
+  SELECT dense_rank() OVER (ORDER BY part, nth) - 1 AS batch_no, cluster_id
+  FROM batches JOIN scored ON scored.id = batches.reading_id),
+{series_sql(MODEL_K, DRIFT_SPAN)}
+{events_sql(DRIFT_LIMIT)}"""
+)
+def stream_drift(spark: SparkSession, sf_dir: str) -> DataFrame:
+    root = scored_stream(spark, sf_dir)
+    return events_long(tables.read_batches(spark, f"{root}/drift", DRIFT).drop("batch_id"))
+
+
+@query(
+    f"""WITH {PREDICTED_SQL},
+m AS (SELECT date_trunc('minute', ts) AS minute, CAST(cluster_id AS INT) AS cluster_id, count(*) AS n
+      FROM predicted GROUP BY ALL)
+SELECT minute, cluster_id, CAST(n AS BIGINT) AS per_minute FROM m
+WHERE minute + INTERVAL 1 MINUTE <= (SELECT date_trunc('milliseconds', max(ts)) FROM predicted) - INTERVAL {DELAY_MINUTES} MINUTE"""
+)
+def stream_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Minutes the watermark has made final."""
+    root = scratch_path(spark, "rates")
+    rows = predicted(spark, sf_dir)
+
+    def send(part: DataFrame) -> None:
+        part.write.mode("append").parquet(f"{root}/inbox")
+
+    def run() -> None:
+        stream = spark.readStream.schema(rows.schema).parquet(f"{root}/inbox")
+        counted = rates.stream_rates(stream, keys=["cluster_id"], delay=f"{DELAY_MINUTES} minutes")
+        (
+            counted.writeStream.format("parquet")
+            .option("path", f"{root}/rates")
+            .option("checkpointLocation", f"{root}/checkpoint")
+            .trigger(availableNow=True)
+            .start()
+            .awaitTermination()
+        )
+
+    in_parts(rows, send, run)
+    found = spark.read.parquet(f"{root}/rates")
+    return found.select(ntz("minute"), "cluster_id", "per_minute")
+
+
+@query(
+    """SELECT DISTINCT 'm' || CAST(user_id AS VARCHAR) AS machine_id, ts AS "timestamp",
+       event_type = 'error' AS has_failure FROM events"""
+)
+def stream_dedupe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every message delivered twice, kept once."""
+    root = scratch_path(spark, "dedupe")
+
+    def send(part: DataFrame) -> None:
+        sent = messages.encode(part).select("value")
+        sent.unionAll(sent).write.mode("append").text(f"{root}/inbox")
+
+    def run() -> None:
+        decoded = messages.decode(messages.file_stream(spark, f"{root}/inbox"))
+        kept = rates.drop_repeats(messages.accepted(decoded)).drop("raw")
+        (
+            kept.writeStream.format("parquet")
+            .option("path", f"{root}/readings")
+            .option("checkpointLocation", f"{root}/checkpoint")
+            .trigger(availableNow=True)
+            .start()
+            .awaitTermination()
+        )
+
+    in_parts(views.readings(spark, sf_dir), send, run)
+    found = spark.read.parquet(f"{root}/readings")
+    return found.select("machine_id", ntz("timestamp"), "has_failure")
