@@ -53,28 +53,26 @@ def start_ingest(
 def ingest_batch(
     batch: DataFrame, batch_id: int, root: str, rows_per_cell: int = ROWS_PER_CELL
 ) -> None:
-    """Decodes, links and stores one micro-batch; late readings go to a table of their own.
+    """Decodes, links and stores one micro-batch; what is not stored is kept with its reason.
 
     A reading is late when its machine already has one at or after it in ``(timestamp,
-    reading_id)`` order.
+    reading_id)`` order; late messages are rejected with the reason ``late``.
     """
     spark = batch.sparkSession
-    decoded = messages.decode(batch).persist()
+    state = read_state(spark, root, batch_id - 1)
+    position = F.struct("timestamp", "reading_id")
+    seen = state.select("machine_id", position.alias("_last"))
+    late = F.coalesce(position <= F.col("_last"), F.lit(False))
+    placed = (
+        messages.with_reading_id(messages.decode(batch))
+        .join(seen, "machine_id", "left")
+        .withColumn("reason", F.coalesce("reason", F.when(late, "late")))
+        .drop("_last")
+        .persist()
+    )
     try:
-        tables.write_batch(messages.rejected(decoded), f"{root}/rejected", batch_id, REJECTED)
-        current = messages.with_reading_id(messages.accepted(decoded)).drop("raw")
-        state = read_state(spark, root, batch_id - 1)
-        seen = state.select(
-            "machine_id", F.struct("timestamp", "reading_id").alias("_last")
-        )
-        placed = current.join(seen, "machine_id", "left").withColumn(
-            "_late",
-            F.coalesce(F.struct("timestamp", "reading_id") <= F.col("_last"), F.lit(False)),
-        )
-        late = placed.filter("_late").drop("_late", "_last")
-        on_time = placed.filter(~F.col("_late")).drop("_late", "_last")
-        tables.write_batch(late, f"{root}/late", batch_id, READINGS)
-
+        tables.write_batch(messages.rejected(placed), f"{root}/rejected", batch_id, REJECTED)
+        on_time = messages.accepted(placed).drop("raw")
         carried = state.join(on_time.select("machine_id").distinct(), "machine_id", "left_semi")
         linked = link_episodes(on_time, carried, rows_per_cell)
         tables.write_batch(linked, f"{root}/linked", batch_id, LINKED, by_date="timestamp")
@@ -84,7 +82,7 @@ def ingest_batch(
             tables.slot(f"{root}/state", batch_id)
         )
     finally:
-        decoded.unpersist()
+        placed.unpersist()
 
 
 def next_state(state: DataFrame, linked: DataFrame) -> DataFrame:
