@@ -60,7 +60,7 @@ def ordered_cells(
     pending = rows
     n_split = 0
     target = rows_per_cell
-    for _ in range(MAX_PASSES):
+    for depth in range(MAX_PASSES):
         sizes = pending.groupBy(*keys, "cell").agg(
             F.count(F.lit(1)).alias("n"),
             F.min(tick).alias("t0"),
@@ -83,13 +83,19 @@ def ordered_cells(
             width = (high - low) / parts
             cuts.append((*[row[k] for k in keys], row["cell"], by_time, float(low), width))
             n_split += parts
+        if depth == 0 and not keys:
+            # the whole table is one key: its only cut is part of the expression
+            *_, by_time, low, width = cuts[0]
+            position = (tick if by_time else F.col(row_id)).cast("double")
+            rows = rows.withColumn("cell", F.array(_part(position, F.lit(low), F.lit(width))))
+            pending = rows
+            continue
         fields = [f"{k} {sizes.schema[k].dataType.simpleString()}" for k in keys]
         ddl = ", ".join([*fields, "cell array<bigint>", "by_time boolean", "low double", "width double"])
         cut = F.broadcast(spark.createDataFrame(cuts, ddl))
         # doubles: any rounding keeps the order, so cells stay contiguous
         position = F.when(F.col("by_time"), tick).otherwise(F.col(row_id)).cast("double")
-        part = F.floor((position - F.col("low")) / F.col("width"))
-        part = F.coalesce(part, F.lit(0)).cast("bigint")
+        part = F.coalesce(_part(position, F.col("low"), F.col("width")), F.lit(0))
         rows = (
             rows.join(cut, [*keys, "cell"], "left")
             .withColumn("_cut", F.col("width").isNotNull())
@@ -101,6 +107,10 @@ def ordered_cells(
     return Cells(rows, n_split)
 
 
+def _part(position: Column, low: Column, width: Column) -> Column:
+    return F.floor((position - low) / width).cast("bigint")
+
+
 def with_global_rank(
     df: DataFrame,
     ts: str = "timestamp",

@@ -24,8 +24,10 @@ from ..schemas import MODEL_CENTROIDS, MODEL_SCALER
 MAX_MODEL_ROWS = 1_000_000
 # Up to this many vector or centroid entries arithmetic is unrolled into generated code.
 MAX_UNROLLED = 300
-# Points per side of a silhouette cell.
+# Points per side of a silhouette cell, and pairs of them measured in one operation.
 SILHOUETTE_BLOCK = 2_048
+PAIRS_AT_ONCE = 200_000
+MAX_SILHOUETTE_TASKS = 20_000
 
 
 @dataclass(frozen=True)
@@ -170,6 +172,7 @@ def silhouette_samples(points: DataFrame, block_rows: int = SILHOUETTE_BLOCK) ->
     point and cluster.
     """
     n_blocks = max(1, -(-points.count() // block_rows))
+    n_cells = n_blocks * (n_blocks + 1) // 2
     block = F.pmod(F.xxhash64("failure_id"), F.lit(n_blocks))
     other = F.explode(F.sequence(F.lit(0), F.lit(n_blocks - 1)))
     sums = (
@@ -177,6 +180,8 @@ def silhouette_samples(points: DataFrame, block_rows: int = SILHOUETTE_BLOCK) ->
         .withColumn("other", other)
         .withColumn("low", F.least("block", "other"))
         .withColumn("high", F.greatest("block", "other"))
+        # a fixed number of tasks: the cells are small to move but long to compute
+        .repartition(min(n_cells, MAX_SILHOUETTE_TASKS), "low", "high")
         .groupBy("low", "high")
         .applyInPandas(_block_sums, _SUMS)
         .groupBy("failure_id", "cluster_id", "other_cluster")
@@ -280,27 +285,30 @@ def _sums_towards(points: pd.DataFrame, targets: pd.DataFrame) -> Iterator[pd.Da
     if points.empty or targets.empty:
         return
     x = np.stack(points["features"].to_numpy())
-    step = max(1, 2_000_000 // x.shape[1])
     for cluster, members in targets.groupby("cluster_id"):
         y = np.stack(members["features"].to_numpy())
-        rows = max(1, step // len(y))
-        total = np.concatenate(
-            [
-                np.sqrt(((x[i : i + rows, None, :] - y[None, :, :]) ** 2).sum(axis=2)).sum(axis=1)
-                for i in range(0, len(x), rows)
-            ]
-        )
+        rows = max(1, PAIRS_AT_ONCE // len(y))
+        total = [_distances(x[i : i + rows], y).sum(axis=1) for i in range(0, len(x), rows)]
         yield pd.DataFrame(
             {
                 "failure_id": points["failure_id"].to_numpy(),
                 "cluster_id": points["cluster_id"].to_numpy(),
                 "other_cluster": cluster,
-                "total": total,
+                "total": np.concatenate(total),
                 "n": len(y),
             }
         )
 
 
+def _distances(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """All distances by one matrix product; near-equal points are measured directly."""
+    norms = (x * x).sum(axis=1)[:, None] + (y * y).sum(axis=1)[None, :]
+    squares = norms - 2.0 * (x @ y.T)
+    close_x, close_y = np.nonzero(squares < 1e-4 * norms)
+    squares[close_x, close_y] = ((x[close_x] - y[close_y]) ** 2).sum(axis=1)
+    return np.sqrt(squares)
+
+
 def _nearest_in_batches(centres: np.ndarray) -> Callable[[Column], Column]:
     @F.pandas_udf("sq_distance double, cluster_id int")
     def near(x: pd.Series) -> pd.DataFrame:

@@ -41,8 +41,7 @@ def as_map(freqs: Column) -> Column:
 
 def reference_distribution(distributions: DataFrame, k: int, window: int = DRIFT_WINDOW) -> DataFrame:
     """The first full window's frequencies, summed and normalised; no row before it is full."""
-    freqs = F.col("freqs")
-    sums = [F.sum(freqs[c]) for c in range(k)]
+    sums = [F.sum(_share(c)) for c in range(k)]
     total = reduce(add, sums)
     return (
         distributions.filter(F.col("batch_no") < window)
@@ -74,7 +73,7 @@ def window_distribution(
         "_run", F.explode(F.when(in_tail, F.array(run, run + 1)).otherwise(F.array(run)))
     )
     order = Window.partitionBy("_run").orderBy("batch_no").rowsBetween(1 - window, 0)
-    sums = [F.sum(F.col("freqs")[c]).over(order) for c in range(k)]
+    sums = [F.sum(_share(c)).over(order) for c in range(k)]
     return (
         placed.withColumn("_sums", F.array(*sums))
         .filter(F.col("_run") == run)
@@ -84,6 +83,11 @@ def window_distribution(
     )
 
 
+def _share(cluster: int) -> Column:
+    """A batch's frequency of a cluster; 0 for clusters its model did not have."""
+    return F.coalesce(F.get("freqs", F.lit(cluster)), F.lit(0.0))
+
+
 def kl_divergence(p: Column, q: Column) -> Column:
     """Sum of ``p ln(p / q)`` over the clusters where both are positive."""
     terms = F.zip_with(

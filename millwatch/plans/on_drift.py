@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..operators import drift as dr
 from ..operators import scoring as sc
+from ..sources import tables
 from . import driver_views as views
 from .catalog import query
 from .on_ingest import as_of, r6
@@ -69,7 +70,9 @@ def predicted(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def distributions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return dr.batch_distribution(sc.with_batch_no(predicted(spark, sf_dir)), K)
+    """Written once: the series reads them twice, for the window and for the reference."""
+    found = dr.batch_distribution(sc.with_batch_no(predicted(spark, sf_dir)), K)
+    return tables.materialise(found, "distributions")
 
 
 def series(spark: SparkSession, sf_dir: str) -> DataFrame:

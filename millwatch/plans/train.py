@@ -15,7 +15,7 @@ from ..operators import describe as ds
 from ..operators import registry
 from ..operators.episodes import in_lookback
 from ..operators.features import episode_stats, episode_vectors, stats_sensors
-from ..schemas import CLUSTERS, MODEL_CENTROIDS, MODEL_SCALER, RUNS, VERSIONS
+from ..schemas import CLUSTERS, MODEL_CENTROIDS, MODEL_SCALER, PICKUPS, RUNS, VERSIONS
 from ..sources import tables
 
 
@@ -125,7 +125,7 @@ def publish(spark: SparkSession, root: str, done: Training, created_at: Column)
         "cluster_profiles",
     )
     tables.append(row, f"{root}/clusters", CLUSTERS)
-    versions = tables.read(spark, f"{root}/versions", VERSIONS)
+    versions = current_versions(spark, root)
     signal = spark.range(1).select(
         F.lit(registry.next_id(versions)).alias("id"),
         F.lit(model.version).alias("version"),
@@ -148,3 +148,24 @@ def load_active(spark: SparkSession, root: str) -> cl.Model | None:
         row["run_id"],
         str(row["model_version"]),
     )
+
+
+def current_versions(spark: SparkSession, root: str) -> DataFrame:
+    """The version signals, processed once they were picked up."""
+    picked = tables.read(spark, f"{root}/pickups", PICKUPS).select("id").distinct()
+    return (
+        tables.read(spark, f"{root}/versions", VERSIONS)
+        .join(picked.withColumn("_picked", F.lit(True)), "id", "left")
+        .withColumn("is_processed", F.col("is_processed") | F.coalesce("_picked", F.lit(False)))
+        .drop("_picked")
+    )
+
+
+def pick_up_versions(spark: SparkSession, root: str) -> bool:
+    """Takes note of all pending signals; whether there were any."""
+    pending = current_versions(spark, root).filter(~F.col("is_processed")).select("id")
+    if pending.isEmpty():
+        return False
+    noted = pending.withColumn("picked_up_at", F.current_timestamp())
+    tables.append(noted, f"{root}/pickups", PICKUPS)
+    return True

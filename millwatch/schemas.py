@@ -77,6 +77,7 @@ PREDICTIONS = struct(
 )
 
 DRIFT = struct(
+    run_id=_TEXT,
     batch_no=_LONG,
     detection_time=_TIME,
     drift_score=_DOUBLE,
@@ -84,7 +85,10 @@ DRIFT = struct(
     current_distribution=DISTRIBUTION,
 )
 
-DISTRIBUTIONS = struct(batch_no=_LONG, n=_LONG, freqs=T.ArrayType(_DOUBLE))
+DISTRIBUTIONS = struct(run_id=_TEXT, batch_no=_LONG, n=_LONG, freqs=T.ArrayType(_DOUBLE))
+
+# Signals that were picked up; kept apart so that no table is ever updated in place.
+PICKUPS = struct(id=_LONG, picked_up_at=_TIME)
 
 VERSIONS = struct(id=_LONG, version=_TEXT, run_id=_TEXT, created_at=_TIME, is_processed=_BOOL)
 

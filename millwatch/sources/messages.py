@@ -48,29 +48,29 @@ def decode(raw: DataFrame) -> DataFrame:
     A missing ``readings`` gives no values and a missing ``has_failure`` means false. All other
     columns of ``raw`` are kept.
     """
-    text = F.col("value").cast("string")
-    checked = raw.withColumn("value", text).withColumn(
-        "_m", F.from_json("value", _CHECKED, {"mode": "PERMISSIVE"})
+    kept = [name for name in raw.columns if name != "value"]
+    # A generator keeps filters on the result above it, so that a message is parsed once.
+    parsed = raw.withColumn("raw", F.col("value").cast("string")).select(
+        *kept, "raw", F.inline(F.array(F.from_json("raw", _CHECKED, {"mode": "PERMISSIVE"})))
     )
-    stamp = parse_timestamp(F.col("_m.timestamp"))
-    corrupt = F.col("_m._corrupt_record").isNotNull()
+    stamp = parse_timestamp(F.col("timestamp"))
+    corrupt = F.col("_corrupt_record").isNotNull()
     reason = (
-        F.when(F.col("value").isNull() | (corrupt & F.try_parse_json("value").isNull()), "not_json")
-        .when(F.coalesce(F.col("_m.machine_id"), F.lit("")) == "", "missing_machine_id")
-        .when(F.coalesce(F.col("_m.timestamp"), F.lit("")) == "", "missing_timestamp")
+        F.when(F.col("raw").isNull() | (corrupt & F.try_parse_json("raw").isNull()), "not_json")
+        .when(F.coalesce("machine_id", F.lit("")) == "", "missing_machine_id")
+        .when(F.coalesce("timestamp", F.lit("")) == "", "missing_timestamp")
         .when(stamp.isNull(), "bad_timestamp")
         .when(corrupt, "bad_readings")
     )
-    kept = [name for name in raw.columns if name != "value"]
-    return checked.select(
+    return parsed.select(
         *kept,
-        F.col("value").alias("raw"),
-        F.col("_m.machine_id").alias("machine_id"),
+        "raw",
+        "machine_id",
         stamp.alias("timestamp"),
-        F.coalesce(F.col("_m.readings.readings"), F.create_map().cast("map<string,double>")).alias(
+        F.coalesce(F.col("readings.readings"), F.create_map().cast("map<string,double>")).alias(
             "values"
         ),
-        F.coalesce(F.col("_m.readings.has_failure"), F.lit(False)).alias("has_failure"),
+        F.coalesce(F.col("readings.has_failure"), F.lit(False)).alias("has_failure"),
         reason.alias("reason"),
     )
 

@@ -10,7 +10,7 @@ from ..functions.fixed import DRIFT_THRESHOLD, DRIFT_WINDOW, SCORING_BATCH_SIZE
 from ..operators import drift as dr
 from ..operators import scoring as sc
 from ..operators.clustering import Model
-from ..plans.train import load_active
+from ..plans.train import load_active, pick_up_versions
 from ..schemas import DISTRIBUTIONS, DRIFT, PREDICTIONS
 from ..sources import tables
 
@@ -23,18 +23,26 @@ def start_scoring(
     batch_size: int = SCORING_BATCH_SIZE,
     window: int = DRIFT_WINDOW,
     threshold: float = DRIFT_THRESHOLD,
+    reset_on_model_change: bool = False,
 ) -> StreamingQuery:
     """Scores a stream of linked readings with the model active at each trigger.
 
     The usual trigger is ``{"processingTime": "30 seconds"}``. While the registry is empty a
-    micro-batch fails and stays pending.
+    micro-batch fails and stays pending. The model is loaded again when a new version has been
+    signalled.
     """
+    loaded: list[Model] = []
 
     def step(batch: DataFrame, batch_id: int) -> None:
-        model = load_active(batch.sparkSession, root)
-        if model is None:
-            raise RuntimeError("no active model in the registry")
-        score_batch(batch, batch_id, root, model, batch_size, window, threshold)
+        spark = batch.sparkSession
+        if pick_up_versions(spark, root) or not loaded:
+            model = load_active(spark, root)
+            if model is None:
+                raise RuntimeError("no active model in the registry")
+            loaded[:] = [model]
+        score_batch(
+            batch, batch_id, root, loaded[0], batch_size, window, threshold, reset_on_model_change
+        )
 
     return (
         readings.writeStream.foreachBatch(step)
@@ -52,6 +60,7 @@ def score_batch(
     batch_size: int = SCORING_BATCH_SIZE,
     window: int = DRIFT_WINDOW,
     threshold: float = DRIFT_THRESHOLD,
+    reset_on_model_change: bool = False,
 ) -> None:
     """Scores the new readings of a micro-batch and extends distributions and drift events."""
     spark = batch.sparkSession
@@ -67,7 +76,9 @@ def score_batch(
     rows = sc.to_predictions(scored, model, F.current_timestamp())
     tables.write_batch(rows, f"{root}/predictions", batch_id, PREDICTIONS, by_date="timestamp")
     stored = tables.read_batch(spark, f"{root}/predictions", PREDICTIONS, batch_id, by_date=True)
-    update_drift(stored, batch_id, root, len(model.centroids), batch_size, window, threshold)
+    k = len(model.centroids)
+    only = model.run_id if reset_on_model_change else None
+    update_drift(stored, batch_id, root, k, batch_size, window, threshold, model.run_id, only)
 
 
 def update_drift(
@@ -78,28 +89,37 @@ def update_drift(
     batch_size: int = SCORING_BATCH_SIZE,
     window: int = DRIFT_WINDOW,
     threshold: float = DRIFT_THRESHOLD,
+    run_id: str = "",
+    only_run: str | None = None,
 ) -> None:
     """Adds the distributions of new predictions and the drift events they cause.
 
     The state read back holds the first window of batches, which is the reference, and the last
-    one: two windows of rows however long the stream has run.
+    one: two windows of rows however long the stream has run. With ``only_run`` batches of other
+    models are forgotten, so that each model gets its own numbering and reference.
     """
     spark = predictions.sparkSession
     state = tables.read(spark, tables.slot(f"{root}/drift_state", batch_id - 1), DISTRIBUTIONS)
-    last = state.agg(F.max("batch_no")).first()[0]
+    if only_run is not None:
+        state = state.filter(F.col("run_id") == only_run)
+    last, width = state.agg(F.max("batch_no"), F.max(F.size("freqs"))).first()
     first_new = 0 if last is None else last + 1
+    k = max(k, width or 0)
     numbered = sc.with_batch_no(predictions, batch_size).withColumn(
         "batch_no", F.col("batch_no") + first_new
     )
     path = f"{root}/distributions"
-    tables.write_batch(dr.batch_distribution(numbered, k), path, batch_id, DISTRIBUTIONS)
+    shares = dr.batch_distribution(numbered, k).withColumn("run_id", F.lit(run_id))
+    tables.write_batch(shares, path, batch_id, DISTRIBUTIONS)
     fresh = tables.read_batch(spark, path, DISTRIBUTIONS, batch_id)
     known = state.unionByName(tables.conform(fresh, DISTRIBUTIONS))
     reference = dr.reference_distribution(known, k, window)
     recent = known.filter(F.col("batch_no") > first_new - window)
     series = dr.drift_series(recent, k, window, threshold, reference)
     events = dr.drift_events(series.filter(F.col("batch_no") >= first_new), F.current_timestamp())
-    tables.write_batch(events, f"{root}/drift", batch_id, DRIFT)
+    tables.write_batch(
+        events.withColumn("run_id", F.lit(run_id)), f"{root}/drift", batch_id, DRIFT
+    )
     newest = known.agg(F.max("batch_no")).scalar()
     kept = known.filter((F.col("batch_no") < window) | (F.col("batch_no") > newest - window))
     kept.coalesce(1).write.mode("overwrite").parquet(tables.slot(f"{root}/drift_state", batch_id))

@@ -1,4 +1,5 @@
 import random
+from dataclasses import replace
 
 import pytest
 from conftest import at
@@ -8,6 +9,7 @@ from millwatch.operators import drift as dr
 from millwatch.operators import episodes as ep
 from millwatch.operators import scoring as sc
 from millwatch.operators.clustering import Model
+from millwatch.plans import train as tr
 from millwatch.schemas import DISTRIBUTIONS, DRIFT, PREDICTIONS
 from millwatch.sources import messages, tables
 from millwatch.streaming import ingest, scoring
@@ -88,6 +90,44 @@ def test_scoring_in_parts_keeps_drift_across_batches(make_readings, tmp_path):
     assert sorted(r["batch_no"] for r in state.collect()) == [0, 1, 2, 3, 8, 9, 10, 11]
 
 
+def test_a_new_model_can_start_its_own_reference(make_readings, tmp_path):
+    df = make_readings([("a", i, 0, {"Sensor 1": 100.0 * (i % 2)}) for i in range(60)])
+    spark, root = df.sparkSession, str(tmp_path)
+    other = replace(MODEL, run_id="s", centroids=[*MODEL.centroids, [50.0, 50.0]])
+    options = {"batch_size": 10, "window": 2, "threshold": 0.0001, "reset_on_model_change": True}
+    scoring.score_batch(df.filter("reading_id < 30"), 0, root, MODEL, **options)
+    scoring.score_batch(df.filter("reading_id >= 30"), 1, root, other, **options)
+    found = tables.read_batches(spark, root + "/distributions", DISTRIBUTIONS).collect()
+    assert sorted((r["run_id"], r["batch_no"], len(r["freqs"])) for r in found) == [
+        ("r", 0, 2), ("r", 1, 2), ("r", 2, 2), ("s", 0, 3), ("s", 1, 3), ("s", 2, 3),
+    ]
+
+
+def test_models_of_different_size_share_a_window(make_readings, tmp_path):
+    df = make_readings([("a", i, 0, {"Sensor 1": 100.0 * (i % 2)}) for i in range(80)])
+    spark, root = df.sparkSession, str(tmp_path)
+    larger = replace(MODEL, run_id="s", centroids=[*MODEL.centroids, [50.0, 50.0]])
+    parts = [(larger, "reading_id < 40"), (MODEL, "reading_id >= 40 and reading_id < 60")]
+    parts.append((larger, "reading_id >= 60"))
+    for part, (model, rows) in enumerate(parts):
+        scoring.score_batch(df.filter(rows), part, root, model, batch_size=10, window=2)
+    found = tables.read_batches(spark, root + "/distributions", DISTRIBUTIONS)
+    assert [r["batch_no"] for r in found.orderBy("batch_no").collect()] == list(range(8))
+    assert tables.read_batches(spark, root + "/drift", DRIFT).count() == 0
+
+
+def test_version_signals_are_picked_up_once(spark, make_readings, tmp_path):
+    root = str(tmp_path)
+    rows = [(f"m{i}", t, 1 - t, {"Sensor 1": float(i)}) for i in range(4) for t in (0, 1)]
+    done = tr.train(ep.link_episodes(make_readings(rows)), F.lit(at(60)), run_id="r1", k=2)
+    assert not tr.pick_up_versions(spark, root)
+    tr.publish(spark, root, done, F.lit(at(1)))
+    tr.publish(spark, root, done, F.lit(at(2)))
+    assert tr.pick_up_versions(spark, root) and not tr.pick_up_versions(spark, root)
+    tr.publish(spark, root, done, F.lit(at(3)))
+    assert [r["id"] for r in tr.current_versions(spark, root).filter("not is_processed").collect()] == [3]
+
+
 def test_readings_scored_before_are_not_scored_again(make_readings, tmp_path):
     df = make_readings([("a", i, 0) for i in range(6)])
     root = str(tmp_path)
