@@ -19,14 +19,42 @@ def unscored(
     With ``rescore_version`` only predictions of that version count as scored. Readings without
     values can never be scored and are left out.
     """
-    done = predictions
-    if rescore_version is not None:
-        done = predictions.filter(F.col("model_version") == rescore_version)
-    return readings.filter(~F.col("has_failure") & (F.size("values") > 0)).join(
-        done.select("reading_id"), "reading_id", "left_anti"
+    done = _counted(predictions, rescore_version)
+    return scorable(readings).join(done.select("reading_id"), "reading_id", "left_anti")
+
+
+def scorable(readings: DataFrame) -> DataFrame:
+    """Normal readings with values."""
+    return readings.filter(~F.col("has_failure") & (F.size("values") > 0))
+
+
+def score_unscored(
+    readings: DataFrame,
+    predictions: DataFrame,
+    model: Model,
+    rescore_version: str | None = None,
+) -> DataFrame:
+    """Scores the unscored readings: ``(reading_id, machine_id, timestamp, cluster_id)``.
+
+    Scores first and then drops what was scored before, because a cluster id is far cheaper to
+    shuffle than a value map. An outer join does that: the optimizer would move an anti join
+    back below the scoring.
+    """
+    done = _counted(predictions, rescore_version).select(F.col("reading_id").alias("_done"))
+    scored = score(scorable(readings), model).select(
+        "reading_id", "machine_id", "timestamp", "cluster_id"
+    )
+    return (
+        scored.join(done, F.col("reading_id") == F.col("_done"), "left")
+        .filter(F.col("_done").isNull())
+        .drop("_done")
     )
 
 
+def _counted(predictions: DataFrame, version: str | None) -> DataFrame:
+    return predictions if version is None else predictions.filter(F.col("model_version") == version)
+
+
 def oldest(readings: DataFrame, n: int = SCORING_BATCH_SIZE) -> DataFrame:
     """The n oldest readings, as a top-n without a full sort."""
     return readings.orderBy("timestamp", "reading_id").limit(n)
@@ -55,8 +83,8 @@ def score(readings: DataFrame, model: Model) -> DataFrame:
 
 
 def to_predictions(scored: DataFrame, model: Model, at: Column) -> DataFrame:
-    """Prediction rows of one model, unique per reading and version."""
-    rows = scored.select(
+    """Prediction rows of one model, one per reading and thereby per reading and version."""
+    return scored.dropDuplicates(["reading_id"]).select(
         "reading_id",
         "machine_id",
         "timestamp",
@@ -67,10 +95,10 @@ def to_predictions(scored: DataFrame, model: Model, at: Column) -> DataFrame:
         F.lit(model.run_id).alias("run_id"),
         F.lit(MODEL_NAME).alias("model_name"),
     )
-    return unique_predictions(rows)
 
 
 def unique_predictions(predictions: DataFrame) -> DataFrame:
+    """One prediction per reading and model version, as when tables are merged."""
     return predictions.dropDuplicates(["reading_id", "model_version"])
 
 

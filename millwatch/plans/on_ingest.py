@@ -12,7 +12,7 @@ from ..operators import episodes as ep
 from ..operators import features as ft
 from ..operators import profiles as pf
 from ..session import scratch_path
-from ..sources import labeled, messages
+from ..sources import labeled, messages, tables
 from . import driver_views as views
 from .catalog import query
 from .sql_parts import EPISODES_SQL, FEATURES_SQL, PATTERNS_SQL, SCALED_SQL, WIDE_LONG_SQL
@@ -164,6 +164,15 @@ def failure_counters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ep.failure_counters(ep.failures(linked(spark, sf_dir)))
 
 
+@query(
+    f"""WITH {EPISODES_SQL}
+SELECT machine_id, failure_id, start_time FROM failures ORDER BY start_time DESC"""
+)
+def newest_failures(spark: SparkSession, sf_dir: str) -> DataFrame:
+    shown = tables.newest_first(ep.failures(linked(spark, sf_dir)), "failures")
+    return shown.select("machine_id", "failure_id", ntz("start_time"))
+
+
 @query(
     f"""WITH {EPISODES_SQL}
 SELECT r.reading_id, r.machine_id, m.failure_id

@@ -126,6 +126,29 @@ def score_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored(spark, sf_dir).select("reading_id", "cluster_id")
 
 
+@query(
+    f"""WITH {SCORED_SQL}, {PAST_SQL}
+SELECT s.id AS reading_id, CAST(s.cluster_id AS INT) AS cluster_id FROM scored s
+WHERE NOT EXISTS (SELECT 1 FROM past p WHERE p.reading_id = s.id)"""
+)
+def score_unscored(spark: SparkSession, sf_dir: str) -> DataFrame:
+    model, _ = episode_model(spark, sf_dir)
+    found = sc.score_unscored(
+        views.readings(spark, sf_dir), past_predictions(spark, sf_dir), model
+    )
+    return found.select("reading_id", "cluster_id")
+
+
+@query(
+    f"""WITH {READINGS_SQL}, {PAST_SQL}
+SELECT reading_id, model_version FROM past"""
+)
+def prediction_dedupe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Predictions merged from two overlapping tables."""
+    past = past_predictions(spark, sf_dir)
+    return sc.unique_predictions(past.unionAll(past.filter(F.col("model_version") == "2")))
+
+
 @query(
     f"""WITH {SCORED_SQL}
 SELECT id AS reading_id, CAST(cluster_id AS INT) AS cluster_id, '2' AS model_version,

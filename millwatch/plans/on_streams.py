@@ -86,7 +86,8 @@ def scored_stream(spark: SparkSession, sf_dir: str) -> str:
     """Linked readings arriving in parts, scored by a published model."""
     root = scratch_path(spark, "scoring")
     tr.publish(spark, root, training(spark, sf_dir, exact=False), as_of())
-    rows = tables.conform(link_episodes(views.readings(spark, sf_dir)), ingest.LINKED)
+    linked = link_episodes(views.readings(spark, sf_dir))
+    rows = tables.materialise(tables.conform(linked, ingest.LINKED), "linked")
 
     def send(part: DataFrame) -> None:
         part.write.mode("append").parquet(f"{root}/readings")

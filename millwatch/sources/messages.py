@@ -110,3 +110,17 @@ def encode(readings: DataFrame) -> DataFrame:
     body = F.struct(F.col("values").alias("readings"), "has_failure")
     message = F.struct("machine_id", stamp.alias("timestamp"), body.alias("readings"))
     return readings.select(F.col("machine_id").alias("key"), F.to_json(message).alias("value"))
+
+
+def send_to_topic(messages: DataFrame, servers: str, topic: str) -> None:
+    """Writes encoded messages to a topic, keyed so that a machine's messages stay in order.
+
+    Needs the Spark Kafka connector on the classpath.
+    """
+    (
+        messages.select("key", "value")
+        .write.format("kafka")
+        .option("kafka.bootstrap.servers", servers)
+        .option("topic", topic)
+        .save()
+    )

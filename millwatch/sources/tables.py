@@ -10,6 +10,21 @@ from pyspark.sql import types as T
 from ..session import scratch_path
 
 
+# Column that puts each table's newest rows first, for display.
+NEWEST_BY = {
+    "readings": "timestamp",
+    "failures": "start_time",
+    "clusters": "created_at",
+    "predictions": "prediction_time",
+    "drift": "detection_time",
+}
+
+
+def newest_first(df: DataFrame, table: str) -> DataFrame:
+    """Rows in the table's display order; sort what is shown, not what is computed with."""
+    return df.orderBy(F.col(NEWEST_BY[table]).desc())
+
+
 def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
     """Selects the schema's columns in order and type; absent columns become NULL."""
     have = set(df.columns)

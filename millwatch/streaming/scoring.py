@@ -72,7 +72,7 @@ def score_batch(
         & (day <= F.to_date(F.lit(span["hi"])))
         & (F.col("batch_id") < batch_id)
     )
-    scored = sc.score(sc.unscored(batch, earlier), model)
+    scored = sc.score_unscored(batch, earlier, model)
     rows = sc.to_predictions(scored, model, F.current_timestamp())
     tables.write_batch(rows, f"{root}/predictions", batch_id, PREDICTIONS, by_date="timestamp")
     stored = tables.read_batch(spark, f"{root}/predictions", PREDICTIONS, batch_id, by_date=True)

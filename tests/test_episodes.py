@@ -138,3 +138,11 @@ def test_machines_and_counters(make_readings):
     assert merged.count() == 2
     counters = ep.failure_counters(ep.failures(ep.link_episodes(df))).collect()
     assert [tuple(r) for r in counters] == [("a", 2, 1)]
+
+
+def test_newest_first(make_readings):
+    from millwatch.sources.tables import newest_first
+
+    df = make_readings([("a", 3, 1), ("b", 9, 1), ("c", 5, 1)])
+    shown = newest_first(ep.failures(ep.link_episodes(df)), "failures").collect()
+    assert [r["machine_id"] for r in shown] == ["b", "c", "a"]
