@@ -95,7 +95,8 @@ sil AS (
                   ELSE (b - a) / greatest(a, b) END) AS silhouette FROM ab)"""
 
 
-MODEL_K = 3
+# More clusters than the default of 3, so that normal readings fall into several of them.
+MODEL_K = 6
 MODEL_ROUNDS = 3
 MODEL_SQL = f"""{SCALED_SQL},
 {lloyd_sql(MODEL_K, MODEL_ROUNDS)},
