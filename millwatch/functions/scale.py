@@ -10,7 +10,10 @@ from pyspark.sql import functions as F
 
 ROWS_PER_CELL = 1_000_000
 MAX_CELLS = 100_000
-MAX_PASSES = 24
+# A cell number holds one group of bits per level of splitting.
+CELL_LEVELS = 4
+CELL_BITS = 15
+BURST_PARTS = 256
 
 
 def bounded_rows(df: DataFrame, limit: int, what: str) -> list[Row]:
@@ -21,14 +24,6 @@ def bounded_rows(df: DataFrame, limit: int, what: str) -> list[Row]:
     return rows
 
 
-def broadcast_if_small(df: DataFrame, limit: int = 200_000) -> DataFrame:
-    """Marks ``df`` for broadcast after counting at most ``limit + 1`` of its rows.
-
-    A larger side is returned as it is and joins by shuffle.
-    """
-    return F.broadcast(df) if df.limit(limit + 1).count() <= limit else df
-
-
 @dataclass(frozen=True)
 class Cells:
     """Rows tagged with their cell, and the number of cells made by splitting."""
@@ -47,20 +42,22 @@ def ordered_cells(
 ) -> Cells:
     """Splits the ordered rows of every large key into contiguous cells of bounded size.
 
-    The column ``cell`` (array of bigint) sorts like ``(ts, row_id)`` within a key, so a window
-    over ``(keys, cell)`` needs only the edges of its neighbours to be exact for the whole key.
-    Keys with up to ``rows_per_cell`` rows stay in one cell. Larger ones are cut into equal time
-    spans; spans that are still too large are cut again, and by ``row_id`` once all their
-    timestamps are equal. The cut points sent to the executors number at most ``max_cells``
-    per pass: a pass that would need more raises the cell size instead.
+    The column ``cell`` (bigint) sorts like ``(ts, row_id)`` within a key, so a window over
+    ``(keys, cell)`` needs only the edges of its neighbours to be exact for the whole key. Keys
+    with up to ``rows_per_cell`` rows stay in cell 0. Larger ones are cut into equal time spans,
+    numbered from 1; spans that are still too large are cut again, and by ``row_id`` once all
+    their timestamps are equal. The cut points sent to the executors number at most
+    ``max_cells`` per pass: a pass that would need more raises the cell size instead.
+
+    Costs one aggregation by key, and one more over the rows of large keys per level.
     """
     spark = df.sparkSession
     tick = F.unix_micros(F.col(ts).cast("timestamp"))
-    rows = df.withColumn("cell", F.array().cast("array<bigint>"))
+    rows = df.withColumn("cell", F.lit(0).cast("bigint"))
     pending = rows
     n_split = 0
     target = rows_per_cell
-    for depth in range(MAX_PASSES):
+    for level in range(CELL_LEVELS):
         sizes = pending.groupBy(*keys, "cell").agg(
             F.count(F.lit(1)).alias("n"),
             F.min(tick).alias("t0"),
@@ -68,30 +65,32 @@ def ordered_cells(
             F.min(row_id).alias("i0"),
             F.max(row_id).alias("i1"),
         )
-        splittable = (F.col("t0") < F.col("t1")) | (F.col("i0") < F.col("i1"))
-        heavy = sizes.filter((F.col("n") > target) & splittable).limit(max_cells + 1).collect()
-        if len(heavy) > max_cells:
+        splittable = sizes.filter("t0 < t1 or i0 < i1")
+        heavy = splittable.filter(F.col("n") > target).limit(max_cells + 1).collect()
+        while len(heavy) > max_cells:
             target *= 2
-            continue
+            heavy = splittable.filter(F.col("n") > target).limit(max_cells + 1).collect()
         if not heavy:
             break
         cuts = []
         for row in heavy:
-            parts = -(-row["n"] // target) + 1
+            # what is left after an even cut is a burst: cut it finely
+            parts = max(-(-row["n"] // target) + 1, BURST_PARTS if level else 1)
+            parts = min(parts, 2**CELL_BITS - 3)
             by_time = row["t0"] < row["t1"]
             low, high = (row["t0"], row["t1"]) if by_time else (row["i0"], row["i1"])
             width = (high - low) / parts
             cuts.append((*[row[k] for k in keys], row["cell"], by_time, float(low), width))
-            n_split += parts
-        if depth == 0 and not keys:
+            n_split += parts + 1
+        if level == 0 and not keys:
             # the whole table is one key: its only cut is part of the expression
             *_, by_time, low, width = cuts[0]
             position = (tick if by_time else F.col(row_id)).cast("double")
-            rows = rows.withColumn("cell", F.array(_part(position, F.lit(low), F.lit(width))))
+            rows = rows.withColumn("cell", _part(position, F.lit(low), F.lit(width)))
             pending = rows
             continue
         fields = [f"{k} {sizes.schema[k].dataType.simpleString()}" for k in keys]
-        ddl = ", ".join([*fields, "cell array<bigint>", "by_time boolean", "low double", "width double"])
+        ddl = ", ".join([*fields, "cell bigint", "by_time boolean", "low double", "width double"])
         cut = F.broadcast(spark.createDataFrame(cuts, ddl))
         # doubles: any rounding keeps the order, so cells stay contiguous
         position = F.when(F.col("by_time"), tick).otherwise(F.col(row_id)).cast("double")
@@ -99,7 +98,7 @@ def ordered_cells(
         rows = (
             rows.join(cut, [*keys, "cell"], "left")
             .withColumn("_cut", F.col("width").isNotNull())
-            .withColumn("cell", F.array_append("cell", part))
+            .withColumn("cell", F.shiftleft("cell", CELL_BITS) + part)
             .select(*df.columns, "cell", "_cut")
         )
         pending = rows.filter("_cut")
@@ -108,7 +107,8 @@ def ordered_cells(
 
 
 def _part(position: Column, low: Column, width: Column) -> Column:
-    return F.floor((position - low) / width).cast("bigint")
+    """Number of the span, from 1."""
+    return F.floor((position - low) / width).cast("bigint") + 1
 
 
 def with_global_rank(

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.scale import MAX_CELLS, ROWS_PER_CELL, ordered_cells
+from ..sources.tables import materialise
 
 RUN = "struct<id: bigint, start: timestamp>"
 LINK_COLUMNS = ("failure_id", "failure_start", "closes")
@@ -29,7 +30,7 @@ def link_episodes(
     across, in a table of one row per cell.
     """
     columns = readings.columns
-    rows = readings
+    rows, seeds = readings, None
     if carried is not None:
         rows = readings.withColumn("_open", F.lit(None).cast(RUN)).withColumn("_seed", F.lit(False))
         seeds = carried.select(
@@ -61,7 +62,8 @@ def link_episodes(
         owner, was_failing = run, before
         linked = local
     else:
-        linked = local.join(_carry_between_cells(local, cells.n_split), ["machine_id", "cell"], "left")
+        carries = _carry_between_cells(cells.rows, cells.n_split, seeds)
+        linked = local.join(carries, ["machine_id", "cell"], "left")
         carry, edge = F.col("_carry"), F.col("_edge")
         # a run that starts with its cell belongs to the episode still open in the cell before
         owner = F.when(carry.isNotNull() & (run.isNull() | (run["id"] == edge["id"])), carry).otherwise(run)
@@ -77,26 +79,59 @@ def link_episodes(
     return linked.select(*kept, *LINK_COLUMNS)
 
 
-def _carry_between_cells(local: DataFrame, n_split: int) -> DataFrame:
+def _carry_between_cells(rows: DataFrame, n_split: int, seeds: DataFrame | None) -> DataFrame:
     """Per cell of a split machine: its edge run and the episode open when the cell begins.
 
     A cell that ends normal passes on nothing, one that ends in a run begun inside it passes on
     that run, and one that fails throughout passes on what it received or, after a normal end,
-    its own run.
+    its own run. The edges come from aggregations that are combined before their shuffle; no
+    reading is moved or sorted for them.
     """
-    at = F.struct("timestamp", "reading_id")
-    failing = F.col("has_failure")
-    # grouped like the window above, so no further shuffle
-    edges = (
-        local.filter(F.size("cell") > 0)
+    split = rows.filter(F.col("cell") > 0).withColumn("_at", _position())
+    failing, at = F.col("has_failure"), F.col("_at")
+    edges = materialise(
+        split.groupBy("machine_id", "cell").agg(
+            F.min(F.when(failing, at)).alias("first_failing"),
+            F.max(F.when(failing, at)).alias("last_failing"),
+            F.min(F.when(~failing, at)).alias("first_normal"),
+            F.max(F.when(~failing, at)).alias("last_normal"),
+        ),
+        "cell-edges",
+    )
+    small = n_split <= 2 * MAX_CELLS
+    open_ended = edges.filter("last_failing > last_normal").select(
+        "machine_id", "cell", "last_normal"
+    )
+    begun_inside = (
+        split.filter(failing)
+        .join(F.broadcast(open_ended) if small else open_ended, ["machine_id", "cell"])
+        .filter(at > F.col("last_normal"))
         .groupBy("machine_id", "cell")
-        .agg(
-            F.max_by("has_failure", at).alias("_ends_failing"),
-            F.max_by(F.col("_run"), at).alias("_last_run"),
-            F.bool_and(failing).alias("_all_failing"),
-            F.min_by(F.when(F.col("_before").isNull() & failing, F.col("_run")), at).alias("_edge"),
-        )
+        .agg(F.min("_at").alias("_begun"))
     )
+    all_failing = F.col("last_normal").isNull()
+    ends_failing = all_failing | F.coalesce(F.expr("last_failing > last_normal"), F.lit(False))
+    begins_failing = all_failing | F.coalesce(F.expr("first_failing < first_normal"), F.lit(False))
+    cells = edges.join(begun_inside, ["machine_id", "cell"], "left").select(
+        "machine_id",
+        "cell",
+        all_failing.alias("_all_failing"),
+        ends_failing.alias("_ends_failing"),
+        F.when(begins_failing, F.col("first_failing")).alias("_edge_at"),
+        F.when(all_failing, F.col("first_failing")).otherwise(F.col("_begun")).alias("_last_at"),
+    )
+    cells = cells.withColumn("_edge", _run_at("_edge_at")).withColumn(
+        "_last_run", _run_at("_last_at")
+    )
+    if seeds is not None:
+        # a run that begins with the carried row is the episode it carries
+        named = seeds.select(
+            "machine_id", F.col("reading_id").alias("_seed_id"), F.col("_open").alias("_carried")
+        )
+        is_seed = F.col("_last_run.id") == F.col("_seed_id")
+        cells = cells.join(named, "machine_id", "left").withColumn(
+            "_last_run", F.when(is_seed, F.col("_carried")).otherwise(F.col("_last_run"))
+        )
     order = Window.partitionBy("machine_id").orderBy("cell")
     earlier = order.rowsBetween(Window.unboundedPreceding, -1)
     follows_failing = F.coalesce(F.lag("_ends_failing").over(order), F.lit(False))
@@ -104,13 +139,37 @@ def _carry_between_cells(local: DataFrame, n_split: int) -> DataFrame:
         F.when(~F.col("_ends_failing"), F.struct(F.lit(None).cast(RUN).alias("run")))
         .when(~F.col("_all_failing") | ~follows_failing, F.struct(F.col("_last_run").alias("run")))
     )
-    carry = edges.withColumn("_passes", passes).select(
+    carry = cells.withColumn("_passes", passes).select(
         "machine_id",
         "cell",
         "_edge",
         F.last("_passes", ignorenulls=True).over(earlier)["run"].alias("_carry"),
     )
-    return F.broadcast(carry) if n_split <= 2 * MAX_CELLS else carry
+    return F.broadcast(carry) if small else carry
+
+
+def _position() -> Column:
+    """A reading's place in ``(timestamp, reading_id)`` order as one number.
+
+    Numbers, unlike structs, can be aggregated by hash. The offsets keep both parts positive.
+    """
+    return F.expr(
+        "(cast(unix_micros(timestamp) as decimal(20, 0)) + 4611686018427387904BD)"
+        " * 18446744073709551616BD + (cast(reading_id as decimal(20, 0)) + 9223372036854775808BD)"
+    )
+
+
+def _run_at(name: str) -> Column:
+    """The run begun by the reading whose position is in column ``name``, NULL without one."""
+    tick = f"({name} div 18446744073709551616BD)"
+    row_id = (
+        f"cast({name} - cast({tick} as decimal(20, 0)) * 18446744073709551616BD"
+        " - 9223372036854775808BD as bigint)"
+    )
+    start = f"timestamp_micros({tick} - 4611686018427387904L)"
+    return F.expr(
+        f"CASE WHEN {name} IS NOT NULL THEN named_struct('id', {row_id}, 'start', {start}) END"
+    )
 
 
 def failures(linked: DataFrame) -> DataFrame:
