@@ -10,6 +10,7 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.functions import array_to_vector
@@ -23,7 +24,7 @@ from ..schemas import MODEL_CENTROIDS, MODEL_SCALER
 
 MAX_MODEL_ROWS = 1_000_000
 # Up to this many vector or centroid entries arithmetic is unrolled into generated code.
-MAX_UNROLLED = 300
+MAX_UNROLLED = 64
 # Points per side of a silhouette cell, and pairs of them measured in one operation.
 SILHOUETTE_BLOCK = 2_048
 PAIRS_AT_ONCE = 200_000
@@ -82,32 +83,44 @@ def scaled(column: str, mean: Sequence[float], scale: Sequence[float]) -> Column
 def nearest(column: str, centroids: Sequence[Sequence[float]]) -> Column:
     """``struct(sq_distance, cluster_id)`` of the closest centroid; ties go to the lower id.
 
-    The centroids are constants of the expression: no join, no shuffle, one pass. Small models
-    become generated code; larger ones run as one matrix operation per Arrow batch.
+    The centroids are constants of the generated code: no join, no shuffle, one pass.
     """
-    if len(centroids) * len(centroids[0]) > MAX_UNROLLED:
-        return _nearest_in_batches(np.array(centroids, dtype=float))(F.col(column))
     candidates = []
     for cluster, centre in enumerate(centroids):
         square = " + ".join(
             f"({column}[{i}] - {_number(c)}) * ({column}[{i}] - {_number(c)})"
             for i, c in enumerate(centre)
         )
-        candidates.append(
-            f"named_struct('sq_distance', {square}, 'cluster_id', {cluster})"
-        )
+        candidates.append(f"named_struct('sq_distance', {square}, 'cluster_id', {cluster})")
     return F.expr(f"array_min(array({', '.join(candidates)}))")
 
 
 def assign(
-    vectors: DataFrame, centroids: Sequence[Sequence[float]], column: str = "features"
+    vectors: DataFrame,
+    centroids: Sequence[Sequence[float]],
+    column: str = "features",
+    mean: Sequence[float] | None = None,
+    scale: Sequence[float] | None = None,
 ) -> DataFrame:
-    """Adds ``cluster_id`` and ``sq_distance`` of the nearest centroid."""
+    """Adds ``cluster_id`` and ``sq_distance`` of the nearest centroid.
+
+    ``mean`` and ``scale`` standardise the vector on the way. Models beyond ``MAX_UNROLLED``
+    entries run as matrix operations on Arrow batches, which is measurably faster there.
+    """
+    if len(centroids) * len(centroids[0]) > MAX_UNROLLED:
+        placed = vectors.withColumn(
+            "_near", _nearest_in_batches(centroids, mean, scale)(F.col(column))
+        )
+    elif mean is not None and scale is not None:
+        placed = vectors.withColumn("_scaled", scaled(column, mean, scale)).withColumn(
+            "_near", nearest("_scaled", centroids)
+        )
+    else:
+        placed = vectors.withColumn("_near", nearest(column, centroids))
     return (
-        vectors.withColumn("_near", nearest(column, centroids))
-        .withColumn("cluster_id", F.col("_near.cluster_id"))
+        placed.withColumn("cluster_id", F.col("_near.cluster_id"))
         .withColumn("sq_distance", F.col("_near.sq_distance"))
-        .drop("_near")
+        .drop("_near", "_scaled")
     )
 
 
@@ -309,21 +322,30 @@ def _distances(x: np.ndarray, y: np.ndarray) -> np.ndarray:
     return np.sqrt(squares)
 
 
-def _nearest_in_batches(centres: np.ndarray) -> Callable[[Column], Column]:
-    @F.pandas_udf("sq_distance double, cluster_id int")
-    def near(x: pd.Series) -> pd.DataFrame:
-        points = np.stack(x.to_numpy())
-        rows = max(1, 4_000_000 // centres.size)
-        ids, squares = [], []
-        for i in range(0, len(points), rows):
-            d = ((points[i : i + rows, None, :] - centres[None, :, :]) ** 2).sum(axis=2)
-            ids.append(d.argmin(axis=1))
-            squares.append(d.min(axis=1))
-        return pd.DataFrame(
-            {
-                "sq_distance": np.concatenate(squares),
-                "cluster_id": np.concatenate(ids).astype("int32"),
-            }
+def _nearest_in_batches(
+    centroids: Sequence[Sequence[float]],
+    mean: Sequence[float] | None,
+    scale: Sequence[float] | None,
+) -> Callable[[Column], Column]:
+    centres = np.array(centroids, dtype=float)
+    shift = None if mean is None else np.array(mean, dtype=float)
+    width = None if scale is None else np.array(scale, dtype=float)
+
+    @F.arrow_udf("sq_distance double, cluster_id int")
+    def near(x: pa.Array) -> pa.Array:
+        points = x.flatten().to_numpy(zero_copy_only=False).reshape(len(x), centres.shape[1])
+        if shift is not None and width is not None:
+            points = (points - shift) / width
+        best = np.full(len(points), np.inf)
+        ids = np.zeros(len(points), dtype=np.int32)
+        for cluster, centre in enumerate(centres):
+            away = points - centre
+            squares = np.einsum("ij,ij->i", away, away)
+            closer = squares < best
+            best[closer] = squares[closer]
+            ids[closer] = cluster
+        return pa.StructArray.from_arrays(
+            [pa.array(best), pa.array(ids)], names=["sq_distance", "cluster_id"]
         )
 
     return near

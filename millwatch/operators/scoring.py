@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ..functions.fixed import MODEL_NAME, SCORING_BATCH_SIZE
 from ..functions.scale import ROWS_PER_CELL, with_global_rank
 from ..functions.sensors import single_reading_features
-from .clustering import Model, nearest, scaled
+from .clustering import Model, assign
 
 
 def unscored(
@@ -74,11 +74,9 @@ def reading_vector(model_features: list[str], values: str = "values") -> Column:
 
 def score(readings: DataFrame, model: Model) -> DataFrame:
     """Adds ``cluster_id`` in one pass over the readings, without join or shuffle."""
-    return (
-        readings.withColumn("_x", reading_vector(model.features))
-        .withColumn("_x", scaled("_x", model.mean, model.scale))
-        .withColumn("cluster_id", nearest("_x", model.centroids)["cluster_id"])
-        .drop("_x")
+    vectors = readings.withColumn("_x", reading_vector(model.features))
+    return assign(vectors, model.centroids, "_x", model.mean, model.scale).drop(
+        "_x", "sq_distance"
     )
 
 

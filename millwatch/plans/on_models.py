@@ -62,8 +62,8 @@ def episode_model(spark: SparkSession, sf_dir: str) -> tuple[cl.Model, DataFrame
     mean, scale = cl.fit_scaler(vectors)
     centroids = fixed_fit(cl.scale_vectors(vectors, mean, scale), MODEL_K)
     model = cl.Model(FEATURES, mean, scale, centroids, run_id="run-1", version="2")
-    scaled = vectors.withColumn("_x", cl.scaled("features", mean, scale))
-    return model, cl.assign(scaled, centroids, "_x").drop("_x", "sq_distance")
+    assigned = cl.assign(vectors, centroids, "features", mean, scale)
+    return model, assigned.drop("sq_distance")
 
 
 def profile_means(spark: SparkSession, sf_dir: str) -> DataFrame:

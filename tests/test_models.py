@@ -87,6 +87,12 @@ def test_nearest_small_and_large_models_agree(spark, monkeypatch):
     monkeypatch.setattr(cl, "MAX_UNROLLED", 2)
     large = {r["failure_id"]: r["cluster_id"] for r in cl.assign(df, centroids).collect()}
     assert small == large
+    mean, scale = [0.5] * 6, [2.0] * 6
+    raw = {r["failure_id"]: r["sq_distance"] for r in cl.assign(df, centroids, "features", mean, scale).collect()}
+    monkeypatch.undo()
+    unrolled = cl.assign(df, centroids, "features", mean, scale).collect()
+    assert raw == pytest.approx({r["failure_id"]: r["sq_distance"] for r in unrolled})
+    monkeypatch.setattr(cl, "MAX_UNROLLED", 2)
     scaled = cl.scale_vectors(df, [1.0] * 6, [2.0] * 6).orderBy("failure_id").first()["features"]
     first = df.orderBy("failure_id").first()["features"]
     assert scaled == pytest.approx([(v - 1) / 2 for v in first])
