@@ -26,7 +26,10 @@ PREDICTED_SQL = f"""predicted AS (
 
 
 def series_sql(k: int, window: int) -> str:
-    """``dist``, ``reference``, ``rolled`` and ``scores`` from ``predicted(batch_no, cluster_id)``."""
+    """``dist``, ``reference``, ``rolled`` and ``scores`` from ``predicted(batch_no, cluster_id)``.
+
+    There is no reference, and every score is 0, until the first window is full.
+    """
     return f"""grid AS (SELECT DISTINCT batch_no, c AS cluster_id FROM predicted, range({k}) t(c)),
 counts AS (SELECT batch_no, cluster_id, count(*) AS n FROM predicted GROUP BY ALL),
 dist AS MATERIALIZED (
@@ -34,14 +37,15 @@ dist AS MATERIALIZED (
          coalesce(n, 0) / sum(coalesce(n, 0)) OVER (PARTITION BY g.batch_no) AS freq
   FROM grid g LEFT JOIN counts c ON c.batch_no = g.batch_no AND c.cluster_id = g.cluster_id),
 reference AS MATERIALIZED (
-  SELECT cluster_id, sum(freq) / {window} AS freq FROM dist WHERE batch_no < {window} GROUP BY cluster_id),
+  SELECT cluster_id, sum(freq) / {window} AS freq FROM dist WHERE batch_no < {window}
+  GROUP BY cluster_id HAVING count(*) = {window}),
 rolled AS (
   SELECT batch_no, cluster_id, avg(freq) OVER (
            PARTITION BY cluster_id ORDER BY batch_no ROWS {window - 1} PRECEDING) AS freq
   FROM dist),
 both_sides AS (
   SELECT w.batch_no, w.freq AS p, r.freq AS q, (w.freq + r.freq) / 2 AS m
-  FROM rolled w JOIN reference r USING (cluster_id)),
+  FROM rolled w LEFT JOIN reference r USING (cluster_id)),
 scores AS MATERIALIZED (
   SELECT batch_no,
          CASE WHEN batch_no < {window - 1} THEN 0.0 ELSE least(1.0, greatest(0.0,
@@ -116,8 +120,8 @@ def window_distribution(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(
     f"""WITH {SERIES_SQL}
 SELECT CAST(d.batch_no AS BIGINT) AS batch_no,
-       round(sum(CASE WHEN d.freq > 0 AND r.freq > 0 THEN d.freq * ln(d.freq / r.freq) ELSE 0 END), 6) AS kl
-FROM dist d JOIN reference r USING (cluster_id) GROUP BY d.batch_no"""
+       round(sum(CASE WHEN r.freq IS NULL THEN NULL WHEN d.freq > 0 AND r.freq > 0 THEN d.freq * ln(d.freq / r.freq) ELSE 0 END), 6) AS kl
+FROM dist d LEFT JOIN reference r USING (cluster_id) GROUP BY d.batch_no"""
 )
 def kl_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = series(spark, sf_dir)
