@@ -35,20 +35,11 @@ def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str)
 
 
 def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Every document as often as the mix takes it, with new ids in the old order.
-
-    A repeat has its document's id times the number of epochs that can occur, plus its epoch.
-    """
-    epochs = 3
-    taken = mixing.mix(docs, (5.0, 2.0, 1.0), max_epochs=epochs).select("doc_id", "epochs")
-    taken, _ = keep(taken.filter("epochs > 0"), "taken")
-    repeat = F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("epochs") - 1)).alias("epoch")
-    return (
-        docs.join(taken, "doc_id")
-        .select(*COLUMNS, repeat)
-        .withColumn("doc_id", F.col("doc_id") * epochs + F.col("epoch"))
-        .select(*COLUMNS)
-    )
+    """Every document as often as the mix takes it: a row for each epoch, all under its id."""
+    taken = mixing.mix(docs, (5.0, 2.0, 1.0)).select("doc_id", "epochs").filter("epochs > 0")
+    taken, _ = keep(taken, "taken")
+    epoch = F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("epochs")))
+    return docs.join(taken, "doc_id").select(*COLUMNS, epoch).select(*COLUMNS)
 
 
 def binary_records(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
-from . import decontaminate, mixing, quality, records, similarity
+from . import decontaminate, language, mixing, quality, records, similarity
 from .catalog import query, table
 from .store import keep
 
@@ -61,3 +61,9 @@ def encoded(docs: DataFrame) -> DataFrame:
 def op9_binary_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token ids of every document, as read back from the files."""
     return encoded(table(spark, sf_dir, "documents"))
+
+
+@query()
+def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every document."""
+    return language.identify(table(spark, sf_dir, "documents"))

@@ -79,10 +79,11 @@ def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return raw[at[0] : at[-1]], at - at[0]
 
 
-def split(column: pa.Array, fold: bool = True) -> Words:
-    """Words of every row; ``fold`` hashes A-Z as a-z."""
+def split(column: pa.Array, fold: bool = True, inside: np.ndarray = _IS_WORD) -> Words:
+    """Words of every row; ``fold`` hashes A-Z as a-z; ``inside`` says which bytes make words."""
     data, rows = text_bytes(column)
-    inside = _IS_WORD[data]
+    of_words = inside
+    inside = of_words[data]
     edge = np.zeros(len(data) + 1, bool)
     edge[rows] = True  # a word never crosses rows
     before = np.empty(len(data), bool)
@@ -96,7 +97,7 @@ def split(column: pa.Array, fold: bool = True) -> Words:
     bounds = np.searchsorted(start, rows)
     if not len(start):
         return Words(data, rows, start, stop, bounds, np.zeros(0, np.uint64))
-    value = (_FOLDED if fold else _EXACT)[data]
+    value = ((_FOLDED if fold else _EXACT) * of_words)[data]
     place = np.arange(len(data), dtype=np.int64)
     place[start[0] :] -= np.repeat(start, np.diff(np.append(start, len(data))))
     value *= _PLACE[place % _POSITIONS]
