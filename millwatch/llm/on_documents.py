@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
-from . import decontaminate, language, mixing, quality, records, similarity
+from . import decontaminate, fingerprint, language, mixing, quality, records, similarity
 from .catalog import query, table
 from .store import keep
 
@@ -67,3 +67,9 @@ def op9_binary_records(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Language of every document."""
     return language.identify(table(spark, sf_dir, "documents"))
+
+
+@query()
+def op1_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of every document and of its edited text."""
+    return fingerprint.fingerprints(table(spark, sf_dir, "documents"))
