@@ -60,12 +60,14 @@ def rule_table(spark, rules: Sequence[tuple[str, str, str]]) -> DataFrame:
     rows = spark.createDataFrame([list(r) for r in rules], "verdict string, host string, path string")
     # Java quotes: everything between \Q and \E is literal
     quoted = F.concat(F.lit("\\Q"), F.replace(F.concat("host", "path"), F.lit("\\E"), F.lit("\\E\\\\E\\Q")), F.lit("\\E"))
-    # the last run of the prefix may go on in the URL, so it is no whole token
-    whole = F.regexp_replace(F.concat("host", "path"), "[\\p{L}\\p{N}]+$", "")
+    # a host ends where it ends; the last run of a path prefix may go on and is no whole token
+    after = F.when(F.col("path") == "", F.lit("(?=/|\\z)")).otherwise(F.lit(""))
+    open_end = F.regexp_replace(F.concat("host", "path"), "[\\p{L}\\p{N}]+$", "")
+    whole = F.when(F.col("path") == "", F.col("host")).otherwise(open_end)
     return rows.select(
         "verdict",
         F.concat("host", "path").alias("rule"),
-        F.concat(F.lit("^(?:[^/]*\\.)?"), quoted).alias("pattern"),
+        F.concat(F.lit("^(?:[^/]*\\.)?"), quoted, after).alias("pattern"),
         _tokens(whole).alias("literals"),
     )
 
