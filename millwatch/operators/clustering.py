@@ -10,7 +10,6 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pandas as pd
-import pyarrow as pa
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.functions import array_to_vector
@@ -23,8 +22,6 @@ from ..functions.scale import bounded_rows
 from ..schemas import MODEL_CENTROIDS, MODEL_SCALER
 
 MAX_MODEL_ROWS = 1_000_000
-# Up to this many vector or centroid entries arithmetic is unrolled into generated code.
-MAX_UNROLLED = 64
 # Points per side of a silhouette cell, and pairs of them measured in one operation.
 SILHOUETTE_BLOCK = 2_048
 PAIRS_AT_ONCE = 200_000
@@ -70,29 +67,29 @@ def scale_vectors(
 
 def scaled(column: str, mean: Sequence[float], scale: Sequence[float]) -> Column:
     """The standardised vector of ``column``."""
-    if len(mean) <= MAX_UNROLLED:
-        parts = [
-            f"({column}[{i}] - {_number(m)}) / {_number(s)}"
-            for i, (m, s) in enumerate(zip(mean, scale, strict=True))
-        ]
-        return F.expr(f"array({', '.join(parts)})")
-    centred = F.zip_with(column, F.lit(list(mean)), lambda a, m: a - m)
-    return F.zip_with(centred, F.lit(list(scale)), lambda a, s: a / s)
+    centred = F.zip_with(column, _numbers(mean), lambda a, m: a - m)
+    return F.zip_with(centred, _numbers(scale), lambda a, s: a / s)
 
 
 def nearest(column: str, centroids: Sequence[Sequence[float]]) -> Column:
     """``struct(sq_distance, cluster_id)`` of the closest centroid; ties go to the lower id.
 
-    The centroids are constants of the generated code: no join, no shuffle, one pass.
+    The centroids are constants of the plan, whatever their number and width: no join, no shuffle,
+    no Python. NULL for a vector that is NULL, has a NULL or NaN entry, or another width.
     """
-    candidates = []
-    for cluster, centre in enumerate(centroids):
-        square = " + ".join(
-            f"({column}[{i}] - {_number(c)}) * ({column}[{i}] - {_number(c)})"
-            for i, c in enumerate(centre)
-        )
-        candidates.append(f"named_struct('sq_distance', {square}, 'cluster_id', {cluster})")
-    return F.expr(f"array_min(array({', '.join(candidates)}))")
+    centres = F.array(*[_numbers(c) for c in centroids])
+    vector = F.col(column)
+
+    def distance(centre: Column, cluster: Column) -> Column:
+        squares = F.zip_with(vector, centre, lambda a, c: (a - c) * (a - c))
+        total = F.aggregate(squares, F.lit(0.0), lambda s, x: s + x)
+        return F.struct(total.alias("sq_distance"), cluster.alias("cluster_id"))
+
+    unusable = F.exists(vector, lambda v: v.isNull() | F.isnan(v)) | (
+        F.size(vector) != len(centroids[0])
+    )
+    found = F.array_min(F.transform(centres, distance))
+    return F.when(vector.isNotNull() & ~unusable, found)
 
 
 def assign(
@@ -102,23 +99,17 @@ def assign(
     mean: Sequence[float] | None = None,
     scale: Sequence[float] | None = None,
 ) -> DataFrame:
-    """Adds ``cluster_id`` and ``sq_distance`` of the nearest centroid.
+    """Adds ``cluster_id`` and ``sq_distance`` of the nearest centroid, as :func:`nearest` has it.
 
-    ``mean`` and ``scale`` standardise the vector on the way. Models beyond ``MAX_UNROLLED``
-    entries run as matrix operations on Arrow batches, which is measurably faster there.
+    ``mean`` and ``scale`` standardise the vector on the way.
     """
-    if len(centroids) * len(centroids[0]) > MAX_UNROLLED:
-        placed = vectors.withColumn(
-            "_near", _nearest_in_batches(centroids, mean, scale)(F.col(column))
-        )
-    elif mean is not None and scale is not None:
-        placed = vectors.withColumn("_scaled", scaled(column, mean, scale)).withColumn(
-            "_near", nearest("_scaled", centroids)
-        )
-    else:
-        placed = vectors.withColumn("_near", nearest(column, centroids))
+    placed = vectors
+    if mean is not None and scale is not None:
+        placed = placed.withColumn("_scaled", scaled(column, mean, scale))
+        column = "_scaled"
     return (
-        placed.withColumn("cluster_id", F.col("_near.cluster_id"))
+        placed.withColumn("_near", nearest(column, centroids))
+        .withColumn("cluster_id", F.col("_near.cluster_id"))
         .withColumn("sq_distance", F.col("_near.sq_distance"))
         .drop("_near", "_scaled")
     )
@@ -162,11 +153,6 @@ def fit_kmeans(
     return [[float(v) for v in centre] for centre in model.clusterCenters()]
 
 
-def enough_data(vectors: DataFrame, k: int) -> bool:
-    """Whether there are at least k points; counts no further than k."""
-    return vectors.limit(k).count() == k
-
-
 def cluster_sizes(assigned: DataFrame, k: int) -> DataFrame:
     """Points per cluster 0..k-1, empty clusters included."""
     spark = assigned.sparkSession
@@ -322,35 +308,6 @@ def _distances(x: np.ndarray, y: np.ndarray) -> np.ndarray:
     return np.sqrt(squares)
 
 
-def _nearest_in_batches(
-    centroids: Sequence[Sequence[float]],
-    mean: Sequence[float] | None,
-    scale: Sequence[float] | None,
-) -> Callable[[Column], Column]:
-    centres = np.array(centroids, dtype=float)
-    shift = None if mean is None else np.array(mean, dtype=float)
-    width = None if scale is None else np.array(scale, dtype=float)
-
-    @F.arrow_udf("sq_distance double, cluster_id int")
-    def near(x: pa.Array) -> pa.Array:
-        points = x.flatten().to_numpy(zero_copy_only=False).reshape(len(x), centres.shape[1])
-        if shift is not None and width is not None:
-            points = (points - shift) / width
-        best = np.full(len(points), np.inf)
-        ids = np.zeros(len(points), dtype=np.int32)
-        for cluster, centre in enumerate(centres):
-            away = points - centre
-            squares = np.einsum("ij,ij->i", away, away)
-            closer = squares < best
-            best[closer] = squares[closer]
-            ids[closer] = cluster
-        return pa.StructArray.from_arrays(
-            [pa.array(best), pa.array(ids)], names=["sq_distance", "cluster_id"]
-        )
-
-    return near
-
-
-def _number(value: float) -> str:
-    """A double as an exact SQL literal."""
-    return f"({value!r}D)"
+def _numbers(values: Sequence[float]) -> Column:
+    """The values as one constant array."""
+    return F.array(*[F.lit(float(v)) for v in values])

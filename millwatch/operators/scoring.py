@@ -40,7 +40,8 @@ def score_unscored(
     shuffle than a value map. An outer join does that: the optimizer would move an anti join
     back below the scoring.
     """
-    done = _counted(predictions, rescore_version).select(F.col("reading_id").alias("_done"))
+    # one row per reading, however many versions have scored it
+    done = _counted(predictions, rescore_version).select(F.col("reading_id").alias("_done")).distinct()
     scored = score(scorable(readings), model).select(
         "reading_id", "machine_id", "timestamp", "cluster_id"
     )

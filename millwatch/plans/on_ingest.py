@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.fixed import DEFAULT_SENSORS
 from ..functions.sensors import normalise_values, sensor_names, to_long, wide_to_long
 from ..operators import clustering as cl
 from ..operators import episodes as ep
@@ -56,8 +55,10 @@ def damaged_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.when(kind != 7, body).alias("readings"),
         )
     )
-    broken = F.when(kind == 0, F.concat(F.lit("reading "), F.col("reading_id"))).when(
-        kind == 6, F.regexp_replace(message, r'"Sensor 1":[^,}]*', '"Sensor 1":"n/a"')
+    broken = (
+        F.when(kind == 0, F.concat(F.lit("reading "), F.col("reading_id")))
+        .when(kind == 6, F.regexp_replace(message, r'"Sensor 1":[^,}]*', '"Sensor 1":"n/a"'))
+        .when(kind == 8, F.regexp_replace(message, r'"readings":\{"readings":\{[^}]*\}', '"readings":{"readings":"none"'))
     )
     return rows.select("reading_id", F.coalesce(broken, message).alias("value"))
 
@@ -87,9 +88,10 @@ def episode_features(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(
     """WITH r AS (SELECT *, event_id % 50 AS kind FROM events)
 SELECT event_id AS reading_id, 'm' || CAST(user_id AS VARCHAR) AS machine_id, ts AS "timestamp",
-       CASE WHEN kind IN (4, 7) THEN NULL ELSE value END AS sensor_1,
-       CASE WHEN kind IN (4, 5, 7) THEN false ELSE event_type = 'error' END AS has_failure
-FROM r WHERE kind NOT IN (0, 1, 2, 3, 6)"""
+       CASE WHEN kind IN (4, 6, 7) THEN NULL ELSE value END AS sensor_1,
+       CASE WHEN kind IN (4, 5, 7) THEN false ELSE event_type = 'error' END AS has_failure,
+       CAST(kind = 6 AS INT) AS n_bad_values
+FROM r WHERE kind NOT IN (0, 1, 2, 3, 8)"""
 )
 def decode_validate(spark: SparkSession, sf_dir: str) -> DataFrame:
     good = messages.accepted(messages.decode(damaged_messages(spark, sf_dir)))
@@ -99,14 +101,15 @@ def decode_validate(spark: SparkSession, sf_dir: str) -> DataFrame:
         ntz("timestamp"),
         F.try_element_at("values", F.lit("Sensor 1")).alias("sensor_1"),
         "has_failure",
+        "n_bad_values",
     )
 
 
 @query(
     """SELECT CASE event_id % 50 WHEN 0 THEN 'not_json' WHEN 1 THEN 'missing_machine_id'
-            WHEN 2 THEN 'missing_timestamp' WHEN 3 THEN 'bad_timestamp' WHEN 6 THEN 'bad_readings'
+            WHEN 2 THEN 'missing_timestamp' WHEN 3 THEN 'bad_timestamp' WHEN 8 THEN 'bad_readings'
        END AS reason, CAST(count(*) AS BIGINT) AS n
-FROM events WHERE event_id % 50 IN (0, 1, 2, 3, 6) GROUP BY 1"""
+FROM events WHERE event_id % 50 IN (0, 1, 2, 3, 8) GROUP BY 1"""
 )
 def rejected_by_reason(spark: SparkSession, sf_dir: str) -> DataFrame:
     return messages.rejected_by_reason(messages.decode(damaged_messages(spark, sf_dir)))
@@ -260,33 +263,10 @@ def label_inventory(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pf.label_inventory(views.wide_readings(spark, sf_dir))
 
 
-@query(
-    f"""SELECT 'Sensor ' || CAST(i AS VARCHAR) AS sensor, 0.0::DOUBLE AS mean, 1.0::DOUBLE AS std,
-       -1.0::DOUBLE AS min, 1.0::DOUBLE AS max
-FROM range({DEFAULT_SENSORS}) t(i)
-WHERE NOT EXISTS (SELECT 1 FROM lineitem WHERE l_suppkey < 0)"""
-)
-def default_sensor_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The fallback when the scan finds no row to analyse."""
-    nothing = views.wide_readings(spark, sf_dir).filter(F.col("machine") < 0)
-    return pf.or_default(pf.sensor_profile(nothing), pf.default_sensor_profile(spark))
-
-
-@query(
-    f"""SELECT l.label, 'Sensor ' || CAST(i AS VARCHAR) AS sensor, l.mean, l.std
-FROM range({DEFAULT_SENSORS}) t(i),
-     (VALUES (1.0::DOUBLE, 0.8::DOUBLE, 0.3::DOUBLE), (2.0, -0.8, 0.3), (3.0, 0.0, 2.0)) l(label, mean, std)
-WHERE NOT EXISTS (SELECT 1 FROM lineitem WHERE l_suppkey < 0)"""
-)
-def default_label_pattern(spark: SparkSession, sf_dir: str) -> DataFrame:
-    nothing = views.wide_readings(spark, sf_dir).filter(F.col("machine") < 0)
-    return pf.or_default(pf.label_pattern(nothing), pf.default_label_pattern(spark))
-
-
 @query(
     f"""WITH {WIDE_LONG_SQL},
 profile AS (SELECT sensor, min(value) AS low, max(value) AS high
-            FROM wide_long WHERE label = 2.0 AND machine <= 10 GROUP BY sensor),
+            FROM wide_long GROUP BY sensor),
 clamped AS (
   SELECT machine, sensor, value,
          round(greatest(least(value, high * 1.2), low * 1.2), 6) AS held
@@ -297,7 +277,7 @@ FROM clamped GROUP BY machine, sensor"""
 )
 def profile_clamp(spark: SparkSession, sf_dir: str) -> DataFrame:
     wide = views.wide_readings(spark, sf_dir)
-    profile = pf.sensor_profile(wide.filter((F.col("Label") == 2.0) & (F.col("machine") <= 10)))
+    profile = pf.sensor_profile(wide)
     readings = wide_to_long(wide, ["machine"]).withColumn("before", F.col("value"))
     return (
         pf.clamp_readings(readings, profile)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -18,10 +20,12 @@ from . import train as tr
 from .catalog import query
 from .on_ingest import AS_OF, as_of, episode_vectors, linked_failing, ntz, r6
 from .sql_parts import (
+    EPISODES_SQL,
     FEATURES,
     MODEL_K,
     MODEL_ROUNDS,
     MODEL_SQL,
+    SCALED_SQL,
     SIMILARITY_SQL,
     lloyd_sql,
     nearest_sql,
@@ -41,12 +45,14 @@ def fixed_fit(points: DataFrame, k: int) -> list[list[float]]:
     return cl.lloyd(points, cl.first_points(points, k), MODEL_ROUNDS)
 
 
-def training(spark: SparkSession, sf_dir: str, exact: bool = True) -> tr.Training:
+def training(
+    spark: SparkSession, sf_dir: str, exact: bool = False, hours: int = DAYS
+) -> tr.Training:
     done = tr.train(
         linked_failing(spark, sf_dir),
         as_of(),
         run_id="run-1",
-        hours=DAYS,
+        hours=hours,
         k=MODEL_K,
         patterns=pf.label_pattern(views.wide_readings(spark, sf_dir)),
         exact_silhouette=exact,
@@ -107,14 +113,45 @@ def lloyd_3(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@query()
+@query(
+    f"""WITH {SCALED_SQL}
+SELECT count(DISTINCT id) AS n_points, 3::BIGINT AS n_clusters, 0::BIGINT AS n_misplaced,
+       count(DISTINCT id) AS n_in_clusters, true AS better_than_one_cluster
+FROM points"""
+)
 def kmeans_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Spark ML k-means on the scaled episodes; its start differs from any SQL restatement."""
+    """Facts that hold for any start of Spark ML k-means on the scaled episodes.
+
+    The centres are written as a table, and each point's assignment is checked by joining it with all of them.
+    """
     vectors = tables.materialise(episode_vectors(spark, sf_dir), "episode-vectors")
     mean, scale = cl.fit_scaler(vectors)
     points = cl.scale_vectors(vectors, mean, scale)
     centroids = cl.fit_kmeans(points)
-    return cl.cluster_sizes(cl.assign(points, centroids), len(centroids))
+    model = cl.Model(FEATURES, mean, scale, centroids, run_id="run-k")
+    cells, _ = cl.model_tables(spark, model)
+    cells = tables.materialise(cells, "centroids").select(
+        F.col("cluster_id").alias("candidate"), "feature_pos", F.col("value").alias("centre")
+    )
+    entries = points.select("failure_id", F.posexplode("features").alias("feature_pos", "x"))
+    away = F.sum((F.col("x") - F.col("centre")) ** 2).alias("d")
+    distances = entries.join(cells, "feature_pos").groupBy("failure_id", "candidate").agg(away)
+    closest = distances.groupBy("failure_id").agg(F.min("d").alias("best"))
+    assigned = cl.assign(points, centroids)
+    sizes = cl.cluster_sizes(assigned, len(centroids)).agg(F.sum("size").alias("n_in_clusters"))
+    wrong = F.coalesce(F.col("sq_distance") > F.col("best") * (1 + 1e-9) + 1e-9, F.lit(True))
+    spread = F.sum(F.aggregate("features", F.lit(0.0), lambda s, x: s + x * x))
+    return (
+        assigned.join(closest, "failure_id")
+        .agg(
+            F.count(F.lit(1)).alias("n_points"),
+            F.lit(len(centroids)).cast("bigint").alias("n_clusters"),
+            F.count_if(wrong).alias("n_misplaced"),
+            # the one-cluster solution of standardised points has its centre at 0
+            (F.sum("sq_distance") < spread).alias("better_than_one_cluster"),
+        )
+        .join(sizes)
+    )
 
 
 @query(
@@ -147,12 +184,16 @@ def cluster_sizes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(
-    """SELECT CAST(k AS INT) AS k, (SELECT count(*) FROM embeddings) >= k AS enough
+    f"""WITH {EPISODES_SQL}
+SELECT CAST(k AS INT) AS k, (SELECT count(*) FROM failures) >= k AS enough
 FROM (VALUES (3), (1000000)) t(k)"""
 )
 def min_data_guard(spark: SparkSession, sf_dir: str) -> DataFrame:
-    points = views.vectors(spark, sf_dir)
-    rows = [(k, cl.enough_data(points, k)) for k in (3, 1_000_000)]
+    """The guard of the training job: with too few episodes there is no model."""
+    rows = [
+        (k, tr.train(linked_failing(spark, sf_dir), as_of(), "guard", hours=DAYS, k=k, fit=fixed_fit) is not None)
+        for k in (3, 1_000_000)
+    ]
     return spark.createDataFrame(rows, "k int, enough boolean")
 
 
@@ -251,18 +292,40 @@ def profile_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+# A lookback that leaves the older episodes out.
+RECENT_HOURS = 16 * 24
+RECENT_SQL = MODEL_SQL.replace(
+    "FROM members GROUP BY",
+    f"FROM members WHERE start_time >= TIMESTAMP '{AS_OF}' - INTERVAL {RECENT_HOURS} HOUR "
+    f"AND start_time < TIMESTAMP '{AS_OF}' GROUP BY",
+)
+_SECOND = ("pairs", "towards", "ab", "sil")
+
+
+def _silhouettes_sql() -> str:
+    """``sil`` and ``sil2``: the Euclidean and the squared-Euclidean mean."""
+    squared = silhouette_sql("pairs.d")
+    for name in _SECOND:
+        squared = re.sub(rf"\b{name}\b", f"{name}2", squared)
+    return silhouette_sql("sqrt(pairs.d)") + ",\n" + squared
+
+
 @query(
-    f"""WITH {MODEL_SQL},
-{silhouette_sql("sqrt(pairs.d)")}
+    f"""WITH {RECENT_SQL},
+{_silhouettes_sql()},
+both_metrics AS (SELECT silhouette, '{tr.EXACT_METRIC}' AS metric FROM sil
+                 UNION ALL SELECT silhouette, '{tr.FAST_METRIC}' FROM sil2)
 SELECT 'run-1' AS run_id, 'failure_analysis_' || strftime(TIMESTAMP '{AS_OF}', '%Y%m%d_%H%M') AS run_name,
        {MODEL_K} AS n_clusters, (SELECT CAST(count(*) AS BIGINT) FROM labeled) AS n_failures,
-       {DAYS} AS training_lookback_hours, round(silhouette, 6) AS silhouette_score
-FROM sil"""
+       {RECENT_HOURS} AS training_lookback_hours, round(silhouette, 6) AS silhouette_score,
+       metric AS silhouette_metric
+FROM both_metrics"""
 )
 def run_record(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The whole training job; its run record appended to a table and read back."""
+    """The whole training job with either metric; the run records appended to a table and read back."""
     path = scratch_path(spark, "runs")
-    tables.append(training(spark, sf_dir).run, path, RUNS)
+    for exact in (False, True):
+        tables.append(training(spark, sf_dir, exact, RECENT_HOURS).run, path, RUNS)
     return tables.read(spark, path, RUNS).withColumn(
         "silhouette_score", F.round("silhouette_score", 6)
     )
@@ -308,7 +371,7 @@ FROM means GROUP BY cluster_id"""
 def registry_publish(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A training run published to an empty registry: model row, profiles and version signal."""
     root = scratch_path(spark, "registry")
-    tr.publish(spark, root, training(spark, sf_dir, exact=False), as_of())
+    tr.publish(spark, root, training(spark, sf_dir), as_of())
     signal = tables.read(spark, f"{root}/versions", VERSIONS).select(
         F.col("id"), F.col("run_id").alias("signalled_run"), "is_processed"
     )

@@ -37,12 +37,11 @@ def rate_sliding(spark: SparkSession, sf_dir: str) -> DataFrame:
     f"""WITH {PREDICTED_SQL}
 SELECT date_trunc('minute', ts) AS minute, CAST(cluster_id AS INT) AS cluster_id,
        CAST(count(*) AS BIGINT) AS per_minute
-FROM predicted WHERE cluster_id IN (0, 1, 2) GROUP BY 1, 2"""
+FROM predicted GROUP BY 1, 2"""
 )
 def rate_per_cluster(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The three series of the dashboard."""
-    charted = predicted(spark, sf_dir).filter(F.col("cluster_id").isin(0, 1, 2))
-    rates = mo.rate_per_minute(charted, keys=["cluster_id"])
+    """One series for every cluster."""
+    rates = mo.rate_per_minute(predicted(spark, sf_dir), keys=["cluster_id"])
     return rates.select(ntz("minute"), "cluster_id", "per_minute")
 
 

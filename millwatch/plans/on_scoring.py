@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators import clustering as cl
 from ..operators import describe as ds
 from ..operators import scoring as sc
 from . import driver_views as views
@@ -126,6 +127,40 @@ def score_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored(spark, sf_dir).select("reading_id", "cluster_id")
 
 
+# As many features as the default setup has: 20 sensors with 4 statistics and the duration.
+WIDE = 81
+_WIDE_ENTRY = "value * ((event_id * (pos + 1)) % 7 + 1) + pos * (event_id % 5)"
+
+
+@query(
+    f"""WITH w AS (SELECT event_id AS id, pos, {_WIDE_ENTRY} AS raw FROM events, range({WIDE}) t(pos)),
+stats AS MATERIALIZED (
+  SELECT pos, avg(raw) AS mean, CASE WHEN stddev_pop(raw) = 0 THEN 1.0 ELSE stddev_pop(raw) END AS scale
+  FROM w GROUP BY pos),
+points AS MATERIALIZED (SELECT id, pos, (raw - mean) / scale AS x FROM w JOIN stats USING (pos)),
+first_three AS (SELECT DISTINCT id FROM points ORDER BY id LIMIT 3),
+centres AS MATERIALIZED (
+  SELECT rank() OVER (PARTITION BY pos ORDER BY id) - 1 AS cluster_id, pos, x AS v
+  FROM points WHERE id IN (SELECT id FROM first_three)),
+{nearest_sql("near", "points", "centres")}
+SELECT id AS reading_id, CAST(cluster_id AS INT) AS cluster_id, round(d, 4) AS sq_distance FROM near"""
+)
+def score_wide_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Scaling and assignment at the width of the default sensor setup."""
+    entries = [
+        F.expr(_WIDE_ENTRY.replace("pos", str(i))).cast("double") for i in range(WIDE)
+    ]
+    vectors = views.table(spark, sf_dir, "events").select(
+        F.col("event_id").alias("failure_id"), F.array(*entries).alias("features")
+    )
+    mean, scale = cl.fit_scaler(vectors)
+    centroids = cl.first_points(cl.scale_vectors(vectors, mean, scale), 3)
+    near = cl.assign(vectors, centroids, mean=mean, scale=scale)
+    return near.select(
+        F.col("failure_id").alias("reading_id"), "cluster_id", F.round("sq_distance", 4).alias("sq_distance")
+    )
+
+
 @query(
     f"""WITH {SCORED_SQL}, {PAST_SQL}
 SELECT s.id AS reading_id, CAST(s.cluster_id AS INT) AS cluster_id FROM scored s

@@ -21,19 +21,25 @@ from .on_models import training
 from .on_scoring import SCORED_SQL
 from .sql_parts import EPISODES_SQL, MODEL_K
 
-# Days of data that arrive together.
-PART_DAYS = 8
+# Parts in which the data arrive, equal spans of their time.
 PARTS = 4
 DRIFT_SPAN = 10
 DRIFT_LIMIT = 0.0005
 DELAY_MINUTES = 10
+_MICROS = "epoch_us(\"timestamp\")"
 
 
 def in_parts(df: DataFrame, write: Callable[[DataFrame], None], run: Callable[[], None]) -> None:
-    """Writes the rows in time order, part by part, and runs the stream after each part."""
-    day = F.date_diff(F.col("timestamp"), F.lit("2024-01-01"))
+    """Writes all rows in time order, part by part, and runs the stream after each part.
+
+    The bounds come from the data; rows without a time belong to the first part.
+    """
+    micros = F.unix_micros(F.col("timestamp").cast("timestamp"))
+    low, high = df.agg(F.min(micros), F.max(micros)).first()
+    width = ((high or 0) - (low or 0)) // PARTS + 1
+    of = F.coalesce(F.floor((micros - F.lit(low or 0)) / F.lit(width)), F.lit(0))
     for part in range(PARTS):
-        write(df.filter(F.floor(day / PART_DAYS) == part))
+        write(df.filter(of == part))
         run()
 
 
@@ -82,10 +88,34 @@ def stream_machines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("machine_id", ntz("first_seen"), ntz("last_seen"))
 
 
+@query(
+    """SELECT 'm' || CAST(user_id AS VARCHAR) AS machine_id, CAST(count(*) AS BIGINT) AS n_readings,
+       CAST(count(*) FILTER (event_type = 'error') AS BIGINT) AS n_failing,
+       min(ts) AS first_seen, max(ts) AS last_seen
+FROM events GROUP BY user_id"""
+)
+def stream_any_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Messages that arrive in no order over several micro-batches: every reading is there."""
+    root = scratch_path(spark, "any-order")
+    rows = views.readings(spark, sf_dir)
+    for part in range(PARTS):
+        mixed = rows.filter(F.pmod(F.xxhash64("reading_id"), F.lit(PARTS)) == part)
+        messages.encode(mixed).select("value").write.mode("append").text(f"{root}/inbox")
+        raw = messages.file_stream(spark, f"{root}/inbox")
+        ingest.start_ingest(raw, root, f"{root}/checkpoint").awaitTermination()
+    found = ingest.current_readings(spark, root).groupBy("machine_id").agg(
+        F.count(F.lit(1)).alias("n_readings"), F.count_if("has_failure").alias("n_failing")
+    )
+    seen = ingest.current_machines(spark, root, PARTS - 1)
+    return found.join(seen, "machine_id").select(
+        "machine_id", "n_readings", "n_failing", ntz("first_seen"), ntz("last_seen")
+    )
+
+
 def scored_stream(spark: SparkSession, sf_dir: str) -> str:
     """Linked readings arriving in parts, scored by a published model."""
     root = scratch_path(spark, "scoring")
-    tr.publish(spark, root, training(spark, sf_dir, exact=False), as_of())
+    tr.publish(spark, root, training(spark, sf_dir), as_of())
     linked = link_episodes(views.readings(spark, sf_dir))
     rows = tables.materialise(tables.conform(linked, ingest.LINKED), "linked")
 
@@ -115,8 +145,9 @@ def stream_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(
     f"""WITH {SCORED_SQL},
 parts AS (
-  SELECT reading_id, "timestamp", datediff('day', DATE '2024-01-01', CAST("timestamp" AS DATE)) // {PART_DAYS} AS part
-  FROM readings WHERE NOT has_failure),
+  SELECT reading_id, "timestamp", ({_MICROS} - lo) // ((hi - lo) // {PARTS} + 1) AS part
+  FROM readings, (SELECT min({_MICROS}) AS lo, max({_MICROS}) AS hi FROM readings)
+  WHERE NOT has_failure),
 batches AS (
   SELECT reading_id, part,
          (row_number() OVER (PARTITION BY part ORDER BY "timestamp", reading_id) - 1) // 100 AS nth
@@ -133,14 +164,12 @@ def stream_drift(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(
-    f"""WITH {PREDICTED_SQL},
-m AS (SELECT date_trunc('minute', ts) AS minute, CAST(cluster_id AS INT) AS cluster_id, count(*) AS n
-      FROM predicted GROUP BY ALL)
-SELECT minute, cluster_id, CAST(n AS BIGINT) AS per_minute FROM m
-WHERE minute + INTERVAL 1 MINUTE <= (SELECT date_trunc('milliseconds', max(ts)) FROM predicted) - INTERVAL {DELAY_MINUTES} MINUTE"""
+    f"""WITH {PREDICTED_SQL}
+SELECT date_trunc('minute', ts) AS minute, CAST(cluster_id AS INT) AS cluster_id, CAST(count(*) AS BIGINT) AS per_minute
+FROM predicted GROUP BY ALL"""
 )
 def stream_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Minutes the watermark has made final."""
+    """All minutes, the open ones too: counts only grow, so the highest one of a minute holds."""
     root = scratch_path(spark, "rates")
     rows = predicted(spark, sf_dir)
 
@@ -151,8 +180,10 @@ def stream_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
         stream = spark.readStream.schema(rows.schema).parquet(f"{root}/inbox")
         counted = rates.stream_rates(stream, keys=["cluster_id"], delay=f"{DELAY_MINUTES} minutes")
         (
-            counted.writeStream.format("parquet")
-            .option("path", f"{root}/rates")
+            counted.writeStream.outputMode("update")
+            .foreachBatch(
+                lambda part, n: part.write.mode("overwrite").parquet(f"{root}/rates/batch_id={n}")
+            )
             .option("checkpointLocation", f"{root}/checkpoint")
             .trigger(availableNow=True)
             .start()
@@ -160,13 +191,16 @@ def stream_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
         )
 
     in_parts(rows, send, run)
-    found = spark.read.parquet(f"{root}/rates")
-    return found.select(ntz("minute"), "cluster_id", "per_minute")
+    found = spark.read.parquet(f"{root}/rates").groupBy("minute", "cluster_id")
+    return found.agg(F.max("per_minute").alias("per_minute")).select(
+        ntz("minute"), "cluster_id", "per_minute"
+    )
 
 
 @query(
-    """SELECT DISTINCT 'm' || CAST(user_id AS VARCHAR) AS machine_id, ts AS "timestamp",
-       event_type = 'error' AS has_failure FROM events"""
+    """SELECT machine_id, "timestamp", has_failure FROM (
+  SELECT DISTINCT 'm' || CAST(user_id AS VARCHAR) AS machine_id, ts AS "timestamp",
+         event_type = 'error' AS has_failure, value, json_extract(props, '$.k') AS k FROM events)"""
 )
 def stream_dedupe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every message delivered twice, kept once."""
@@ -178,7 +212,7 @@ def stream_dedupe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     def run() -> None:
         decoded = messages.decode(messages.file_stream(spark, f"{root}/inbox"))
-        kept = rates.drop_repeats(messages.accepted(decoded)).drop("raw")
+        kept = rates.drop_repeats(messages.accepted(decoded)).drop("raw", "n_bad_values")
         (
             kept.writeStream.format("parquet")
             .option("path", f"{root}/readings")

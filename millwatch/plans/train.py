@@ -19,6 +19,9 @@ from ..schemas import CLUSTERS, MODEL_CENTROIDS, MODEL_SCALER, PICKUPS, RUNS, VE
 from ..sources import tables
 
 
+EXACT_METRIC, FAST_METRIC = "euclidean", "squared_euclidean"
+
+
 @dataclass(frozen=True)
 class Training:
     """A trained model, the assigned raw vectors, the cluster profiles and the run record."""
@@ -37,14 +40,15 @@ def train(
     hours: int = LOOKBACK_HOURS,
     k: int = N_CLUSTERS,
     patterns: DataFrame | None = None,
-    exact_silhouette: bool = True,
+    exact_silhouette: bool = False,
     fit: Callable[[DataFrame, int], list[list[float]]] = cl.fit_kmeans,
 ) -> Training | None:
     """Trains on the episodes that started in the lookback; None with fewer than k of them.
 
     The filter on ``failure_start`` replaces a join with the failures, and on a stored table the
-    matching filter on the reading time limits the scan to the days of the lookback. The exact
-    silhouette is quadratic in the episodes; switch it off for very long lookbacks.
+    matching filter on the reading time limits the scan to the days of the lookback. The
+    silhouette is the linear, squared-Euclidean one; the Euclidean one compares all pairs of episodes
+    and is computed on request. The run record names which it is.
     """
     since = as_of - F.make_dt_interval(hours=F.lit(hours))
     members = linked.filter(F.col("failure_id").isNotNull() & (F.col("timestamp") >= since))
@@ -54,8 +58,8 @@ def train(
     sensors = stats_sensors(stats)
     names = feature_names(sensors)
     vectors = tables.materialise(episode_vectors(stats, sensors), "episode-vectors")
-    n_failures = vectors.count()
-    if n_failures < k or n_failures == 0:
+    n_failures = trainable(vectors, k)
+    if n_failures is None:
         return None
 
     mean, scale = cl.fit_scaler(vectors)
@@ -76,12 +80,25 @@ def train(
     means = ds.profile_means(assigned, names)
     best = None if patterns is None else ds.best_label(ds.label_similarity(means, patterns))
     profiles = ds.cluster_profiles(means, best)
-    run = run_record(linked.sparkSession, model, k, n_failures, hours, as_of)
+    metric = EXACT_METRIC if exact_silhouette else FAST_METRIC
+    run = run_record(linked.sparkSession, model, k, n_failures, hours, as_of, metric)
     return Training(model, assigned, profiles, run)
 
 
+def trainable(vectors: DataFrame, k: int) -> int | None:
+    """The number of episodes, or None if they are too few for k clusters."""
+    n = vectors.count()
+    return n if n and n >= k else None
+
+
 def run_record(
-    spark: SparkSession, model: cl.Model, k: int, n_failures: int, hours: int, as_of: Column
+    spark: SparkSession,
+    model: cl.Model,
+    k: int,
+    n_failures: int,
+    hours: int,
+    as_of: Column,
+    metric: str = FAST_METRIC,
 ) -> DataFrame:
     """Parameters and metrics of one run."""
     return spark.range(1).select(
@@ -91,6 +108,7 @@ def run_record(
         F.lit(n_failures).cast("bigint").alias("n_failures"),
         F.lit(hours).cast("int").alias("training_lookback_hours"),
         F.lit(model.silhouette).alias("silhouette_score"),
+        F.lit(metric).alias("silhouette_metric"),
     )
 
 

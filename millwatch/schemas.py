@@ -99,6 +99,7 @@ RUNS = struct(
     n_failures=_LONG,
     training_lookback_hours=_INT,
     silhouette_score=_DOUBLE,
+    silhouette_metric=_TEXT,
 )
 
 MODEL_CENTROIDS = struct(

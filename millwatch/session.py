@@ -33,17 +33,22 @@ def build_session(master: str | None = None, app: str = "millwatch", **conf: str
 def scratch_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
-    Only a local session may fall back to a temporary folder: on a cluster the executors do
-    not share one.
+    Only a session whose driver is its one executor may fall back to a temporary folder, as in
+    tests: elsewhere, also on ``local-cluster``, the executors do not share one.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if root:
         return root.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if not single_process(spark.sparkContext.master):
         raise RuntimeError("set spark.checkpoint.dir to a folder all executors can reach")
     return _local_root(spark.sparkContext.applicationId)
 
 
+def single_process(master: str) -> bool:
+    """Whether driver and executor are one process."""
+    return master == "local" or master.startswith("local[")
+
+
 @cache
 def _local_root(application: str) -> str:
     return tempfile.mkdtemp(prefix=f"millwatch-{application}-")

@@ -6,12 +6,21 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..schemas import MESSAGE
+from ..functions.scale import with_global_rank
+from ..schemas import struct
 
-# Partitions a topic may have for offset-based reading ids to stay unique.
+# Partitions a topic may have for offset-based reading ids to stay unique; more fail the job.
 MAX_TOPIC_PARTITIONS = 4096
+# A micro-batch numbers its readings within so many bits.
+BATCH_BITS = 40
 
-_CHECKED = T.StructType([*MESSAGE.fields, T.StructField("_corrupt_record", T.StringType())])
+# Values are read as text, so that one that is no number does not spoil its message.
+_CHECKED = struct(
+    machine_id=T.StringType(),
+    timestamp=T.StringType(),
+    readings=struct(readings=T.MapType(T.StringType(), T.StringType()), has_failure=T.BooleanType()),
+    _corrupt_record=T.StringType(),
+)
 
 
 def topic_stream(
@@ -45,7 +54,8 @@ def read_messages(spark: SparkSession, path: str) -> DataFrame:
 def decode(raw: DataFrame) -> DataFrame:
     """Decodes ``value`` into the reading columns plus ``reason``, NULL for accepted messages.
 
-    A missing ``readings`` gives no values and a missing ``has_failure`` means false. All other
+    A missing ``readings`` gives no values and a missing ``has_failure`` means false. A sensor value
+    that is no number is left out and counted in ``n_bad_values``; its reading stays. All other
     columns of ``raw`` are kept.
     """
     kept = [name for name in raw.columns if name != "value"]
@@ -62,14 +72,17 @@ def decode(raw: DataFrame) -> DataFrame:
         .when(stamp.isNull(), "bad_timestamp")
         .when(corrupt, "bad_readings")
     )
+    texts = F.coalesce(F.col("readings.readings"), F.create_map().cast("map<string,string>"))
+    number = lambda v: v.try_cast("double")
+    numeric = lambda _, v: v.isNull() | (number(v).isNotNull() & ~F.isnan(number(v)))
+    usable = F.map_filter(texts, numeric)
     return parsed.select(
         *kept,
         "raw",
         "machine_id",
         stamp.alias("timestamp"),
-        F.coalesce(F.col("readings.readings"), F.create_map().cast("map<string,double>")).alias(
-            "values"
-        ),
+        F.transform_values(usable, lambda _, v: number(v)).alias("values"),
+        (F.size(texts) - F.size(usable)).alias("n_bad_values"),
         F.coalesce(F.col("readings.has_failure"), F.lit(False)).alias("has_failure"),
         reason.alias("reason"),
     )
@@ -92,16 +105,23 @@ def rejected_by_reason(decoded: DataFrame) -> DataFrame:
     return rejected(decoded).groupBy("reason").agg(F.count(F.lit(1)).alias("n"))
 
 
-def with_reading_id(decoded: DataFrame) -> DataFrame:
-    """Adds ``reading_id``: exact from partition and offset, else a hash of the message text.
+def with_reading_id(decoded: DataFrame, batch_id: int = 0) -> DataFrame:
+    """Adds ``reading_id`` to accepted messages, unique and in order of arrival per machine.
 
-    The offset form is unique and follows arrival order. The hash form is for file input at
-    test size: equal messages share an id.
+    From topic partition and offset where there are any: a topic keyed by machine keeps a machine's
+    messages in one partition. Else from the micro-batch and the place in it by time and text, so that a
+    repeated micro-batch gives the same ids, equal messages differ, and ids of later ones are higher.
     """
     if {"partition", "offset"} <= set(decoded.columns):
-        key = F.col("offset") * MAX_TOPIC_PARTITIONS + F.col("partition")
+        too_many = F.concat(F.lit("topic partition above the limit: "), F.col("partition"))
+        part = F.when(F.col("partition") < MAX_TOPIC_PARTITIONS, F.col("partition")).otherwise(
+            F.raise_error(too_many)
+        )
+        key = F.col("offset") * MAX_TOPIC_PARTITIONS + part
         return decoded.withColumn("reading_id", key.cast("bigint")).drop("partition", "offset")
-    return decoded.withColumn("reading_id", F.xxhash64("raw"))
+    ranked = with_global_rank(decoded.withColumn("_hash", F.xxhash64("raw")), "timestamp", "_hash")
+    first = batch_id << BATCH_BITS
+    return ranked.withColumn("reading_id", F.col("rank") + first).drop("rank", "_hash")
 
 
 def encode(readings: DataFrame) -> DataFrame:

@@ -97,6 +97,31 @@ def read_batch(
     return read(spark, part, schema)
 
 
+def days_of(df: DataFrame, ts: str = "timestamp") -> list[str]:
+    """The days that rows of one micro-batch fall on."""
+    days = df.select(F.to_date(ts).alias("d")).filter("d is not null").distinct().collect()
+    return sorted(r["d"].isoformat() for r in days)
+
+
+def read_days(
+    spark: SparkSession, path: str, schema: T.StructType, days: list[str], batch_id: int | None = None
+) -> DataFrame:
+    """The given days of a table laid out by day, optionally one micro-batch of them.
+
+    Only folders of these days are listed, so the work does not grow with the age of the table.
+    """
+    full = T.StructType([*schema.fields, T.StructField("batch_id", T.LongType())])
+    full = full.add("date", T.DateType())
+    part = "" if batch_id is None else f"/batch_id={batch_id}"
+    folders = [f"{path}/date={day}{part}" for day in days]
+    conf = spark._jsc.hadoopConfiguration()
+    at = spark._jvm.org.apache.hadoop.fs.Path
+    there = [f for f in folders if at(f).getFileSystem(conf).exists(at(f))]
+    if not there:
+        return spark.createDataFrame([], full)
+    return spark.read.schema(full).option("basePath", path).parquet(*there)
+
+
 def slot(path: str, batch_id: int) -> str:
     """Folder of the state after a micro-batch.
 

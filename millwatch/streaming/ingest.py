@@ -19,7 +19,13 @@ from ..sources import messages, tables
 
 REJECTED = struct(raw=T.StringType(), reason=T.StringType())
 
-LINKED = T.StructType([*READINGS.fields, T.StructField("closes", T.LongType())])
+LINKED = T.StructType(
+    [
+        *READINGS.fields,
+        T.StructField("closes", T.LongType()),
+        T.StructField("late", T.BooleanType()),
+    ]
+)
 
 # Sightings and last reading of each machine, with the episode open at that point.
 STATE = T.StructType(
@@ -53,36 +59,48 @@ def start_ingest(
 def ingest_batch(
     batch: DataFrame, batch_id: int, root: str, rows_per_cell: int = ROWS_PER_CELL
 ) -> None:
-    """Decodes, links and stores one micro-batch; what is not stored is kept with its reason.
+    """Decodes, links and stores one micro-batch; what cannot be decoded is kept with its reason.
 
-    A reading is late when its machine already has one at or after it in ``(timestamp,
-    reading_id)`` order; late messages are rejected with the reason ``late``.
+    Every valid reading is stored. One whose time lies before its machine's latest stored reading
+    is ``late``: it changes no earlier decision. If it fails and the machine's open episode began
+    by then, it belongs to that episode; else to none. It counts for the machine's first sighting
+    and can be scored. Readings at the same instant as the latest are not late.
     """
     spark = batch.sparkSession
     state = read_state(spark, root, batch_id - 1)
-    position = F.struct("timestamp", "reading_id")
-    seen = state.select("machine_id", position.alias("_last"))
-    late = F.coalesce(position <= F.col("_last"), F.lit(False))
-    placed = (
-        messages.with_reading_id(messages.decode(batch))
-        .join(seen, "machine_id", "left")
-        .withColumn("reason", F.coalesce("reason", F.when(late, "late")))
-        .drop("_last")
-        .persist()
-    )
+    decoded = messages.decode(batch).persist()
     try:
-        tables.write_batch(messages.rejected(placed), f"{root}/rejected", batch_id, REJECTED)
-        on_time = messages.accepted(placed).drop("raw")
+        tables.write_batch(messages.rejected(decoded), f"{root}/rejected", batch_id, REJECTED)
+        numbered = messages.with_reading_id(messages.accepted(decoded), batch_id)
+        known = state.select(
+            "machine_id",
+            F.col("timestamp").alias("_last"),
+            F.struct("failure_id", "failure_start").alias("_open"),
+        )
+        # one row per machine on the right: a hot machine's readings may be split by the join
+        placed = (
+            numbered.drop("raw", "n_bad_values")
+            .join(known, "machine_id", "left")
+            .withColumn("late", F.coalesce(F.col("timestamp") < F.col("_last"), F.lit(False)))
+        )
+        on_time = placed.filter(~F.col("late")).drop("_last", "_open")
         carried = state.join(on_time.select("machine_id").distinct(), "machine_id", "left_semi")
-        linked = link_episodes(on_time, carried, rows_per_cell)
+        joins_open = F.col("has_failure") & (F.col("_open.failure_start") <= F.col("timestamp"))
+        late = placed.filter("late").select(
+            *on_time.columns,
+            F.when(joins_open, F.col("_open.failure_id")).alias("failure_id"),
+            F.when(joins_open, F.col("_open.failure_start")).alias("failure_start"),
+        )
+        linked = link_episodes(on_time, carried, rows_per_cell).unionByName(late, True)
         tables.write_batch(linked, f"{root}/linked", batch_id, LINKED, by_date="timestamp")
-        stored = tables.read_batch(spark, f"{root}/linked", LINKED, batch_id, by_date=True)
+        days = tables.days_of(numbered)
+        stored = tables.read_days(spark, f"{root}/linked", LINKED, days, batch_id)
         tables.write_batch(failures(stored), f"{root}/failures", batch_id, FAILURES)
         next_state(state, stored).write.mode("overwrite").parquet(
             tables.slot(f"{root}/state", batch_id)
         )
     finally:
-        placed.unpersist()
+        decoded.unpersist()
 
 
 def next_state(state: DataFrame, linked: DataFrame) -> DataFrame:
@@ -113,8 +131,11 @@ def next_state(state: DataFrame, linked: DataFrame) -> DataFrame:
 
 
 def read_state(spark: SparkSession, root: str, batch_id: int) -> DataFrame:
-    """State after ``batch_id``."""
-    return tables.read(spark, tables.slot(f"{root}/state", batch_id), STATE)
+    """State after ``batch_id``; only before the first micro-batch there may be none."""
+    path = tables.slot(f"{root}/state", batch_id)
+    if batch_id < 0:
+        return spark.createDataFrame([], STATE)
+    return spark.read.schema(STATE).parquet(path)
 
 
 def current_readings(spark: SparkSession, root: str) -> DataFrame:

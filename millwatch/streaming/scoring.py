@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import time
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -24,21 +26,21 @@ def start_scoring(
     window: int = DRIFT_WINDOW,
     threshold: float = DRIFT_THRESHOLD,
     reset_on_model_change: bool = False,
+    poll_seconds: float = 5.0,
 ) -> StreamingQuery:
     """Scores a stream of linked readings with the model active at each trigger.
 
-    The usual trigger is ``{"processingTime": "30 seconds"}``. While the registry is empty a
-    micro-batch fails and stays pending. The model is loaded again when a new version has been
-    signalled.
+    The usual trigger is ``{"processingTime": "30 seconds"}``. While the registry is empty the
+    first micro-batch waits, looking every ``poll_seconds``. The model is loaded again when a new
+    version has been signalled.
     """
     loaded: list[Model] = []
 
     def step(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         if pick_up_versions(spark, root) or not loaded:
-            model = load_active(spark, root)
-            if model is None:
-                raise RuntimeError("no active model in the registry")
+            while (model := load_active(spark, root)) is None:
+                time.sleep(poll_seconds)
             loaded[:] = [model]
         score_batch(
             batch, batch_id, root, loaded[0], batch_size, window, threshold, reset_on_model_change
@@ -64,18 +66,15 @@ def score_batch(
 ) -> None:
     """Scores the new readings of a micro-batch and extends distributions and drift events."""
     spark = batch.sparkSession
-    span = batch.agg(F.min("timestamp").alias("lo"), F.max("timestamp").alias("hi")).first()
     # only the days of this batch can hold earlier predictions of its readings
-    day = F.col("date")
-    earlier = tables.read_batches(spark, f"{root}/predictions", PREDICTIONS, by_date=True).filter(
-        (day >= F.to_date(F.lit(span["lo"])))
-        & (day <= F.to_date(F.lit(span["hi"])))
-        & (F.col("batch_id") < batch_id)
+    days = tables.days_of(batch)
+    earlier = tables.read_days(spark, f"{root}/predictions", PREDICTIONS, days).filter(
+        F.col("batch_id") < batch_id
     )
     scored = sc.score_unscored(batch, earlier, model)
     rows = sc.to_predictions(scored, model, F.current_timestamp())
     tables.write_batch(rows, f"{root}/predictions", batch_id, PREDICTIONS, by_date="timestamp")
-    stored = tables.read_batch(spark, f"{root}/predictions", PREDICTIONS, batch_id, by_date=True)
+    stored = tables.read_days(spark, f"{root}/predictions", PREDICTIONS, days, batch_id)
     k = len(model.centroids)
     only = model.run_id if reset_on_model_change else None
     update_drift(stored, batch_id, root, k, batch_size, window, threshold, model.run_id, only)

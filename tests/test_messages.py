@@ -35,7 +35,9 @@ def without(name):
         (text(timestamp="2024-13-01T00:00:00"), "bad_timestamp"),
         (without("readings"), None),
         (text(readings={}), None),
-        (text(readings={"readings": {"Sensor 1": "n/a"}, "has_failure": False}), "bad_readings"),
+        (text(readings={"readings": {"Sensor 1": "n/a"}, "has_failure": False}), None),
+        (text(readings={"readings": "none", "has_failure": False}), "bad_readings"),
+        (text(readings={"readings": {"Sensor 1": 1}, "has_failure": "maybe"}), "bad_readings"),
     ],
 )
 def test_reasons(spark, message, reason):
@@ -51,6 +53,13 @@ def test_defaults_and_values(spark):
     assert bare["values"] == {} and bare["has_failure"] is False
 
 
+def test_a_bad_value_leaves_only_itself_out(spark):
+    values = {"a": "n/a", "b": 2, "c": "3.5", "d": [1], "e": None, "f": True, "g": "NaN"}
+    raw = spark.createDataFrame([(text(readings={"readings": values}),)], "value string")
+    row = messages.accepted(messages.decode(raw)).first()
+    assert row["values"] == {"b": 2.0, "c": 3.5, "e": None} and row["n_bad_values"] == 4
+
+
 def test_rejects_are_counted_and_kept(spark):
     raw = spark.createDataFrame([("x",), ("y",), (text(machine_id=""),)], "value string")
     decoded = messages.decode(raw)

@@ -79,23 +79,25 @@ def test_scaler_keeps_constant_features(spark):
     assert applied.first()["features"] == [2.0, 4.0]
 
 
-def test_nearest_small_and_large_models_agree(spark, monkeypatch):
+@pytest.mark.parametrize("width", [4, 100])
+def test_nearest_matches_numpy_at_any_width(spark, width):
     rng = np.random.default_rng(1)
-    df = points(spark, rng.normal(size=(50, 6)))
-    centroids = rng.normal(size=(4, 6)).tolist()
-    small = {r["failure_id"]: r["cluster_id"] for r in cl.assign(df, centroids).collect()}
-    monkeypatch.setattr(cl, "MAX_UNROLLED", 2)
-    large = {r["failure_id"]: r["cluster_id"] for r in cl.assign(df, centroids).collect()}
-    assert small == large
-    mean, scale = [0.5] * 6, [2.0] * 6
-    raw = {r["failure_id"]: r["sq_distance"] for r in cl.assign(df, centroids, "features", mean, scale).collect()}
-    monkeypatch.undo()
-    unrolled = cl.assign(df, centroids, "features", mean, scale).collect()
-    assert raw == pytest.approx({r["failure_id"]: r["sq_distance"] for r in unrolled})
-    monkeypatch.setattr(cl, "MAX_UNROLLED", 2)
-    scaled = cl.scale_vectors(df, [1.0] * 6, [2.0] * 6).orderBy("failure_id").first()["features"]
-    first = df.orderBy("failure_id").first()["features"]
-    assert scaled == pytest.approx([(v - 1) / 2 for v in first])
+    x, centres = rng.normal(size=(50, width)), rng.normal(size=(5, width))
+    mean, scale = rng.normal(size=width), rng.uniform(1, 2, width)
+    rows = cl.assign(points(spark, x), centres.tolist(), "features", mean.tolist(), scale.tolist())
+    away = (((x - mean) / scale)[:, None, :] - centres[None]) ** 2
+    for r in rows.collect():
+        squares = away[int(r["failure_id"])].sum(axis=1)
+        assert r["cluster_id"] == squares.argmin()
+        assert r["sq_distance"] == pytest.approx(squares.min())
+
+
+@pytest.mark.parametrize("width", [4, 100])
+def test_unusable_vectors_have_no_cluster(spark, width):
+    rows = [None, [None, *[0.0] * (width - 1)], [float("nan"), *[0.0] * (width - 1)], [0.0] * (width - 1), [0.0] * width]
+    df = spark.createDataFrame(list(enumerate(rows)), "failure_id bigint, features array<double>")
+    found = {r["failure_id"]: r["cluster_id"] for r in cl.assign(df, [[1.0] * width, [0.5] * width]).collect()}
+    assert found == {0: None, 1: None, 2: None, 3: None, 4: 1}
 
 
 def test_ties_go_to_the_lower_cluster(spark):

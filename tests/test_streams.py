@@ -48,20 +48,63 @@ def test_ingest_in_parts_equals_batch(make_readings, tmp_path, rows_per_cell):
     assert sorted(map(str, machines.collect())) == sorted(map(str, ep.machines(df).collect()))
 
 
-def test_late_and_broken_messages_are_kept_aside(make_readings, tmp_path):
-    df = make_readings([("a", 10, 1), ("a", 20, 1), ("a", 15, 0), ("a", 30, 0), ("b", 1, 0)])
+def test_late_messages_are_stored_and_broken_ones_kept_aside(make_readings, tmp_path):
+    df = make_readings([("a", 10, 1), ("a", 20, 1), ("a", 15, 1), ("a", 5, 1), ("a", 12, 0), ("a", 30, 0), ("b", 1, 0)])
     spark, root = df.sparkSession, str(tmp_path)
-    text = messages.encode(df).select("value", "key")
     first = messages.encode(df.filter("reading_id < 2")).select("value")
     second = messages.encode(df.filter("reading_id >= 2")).select("value")
     junk = spark.createDataFrame([("junk",)], "value string")
     ingest.ingest_batch(first, 0, root)
     ingest.ingest_batch(second.unionAll(junk), 1, root)
     kept = tables.read_batches(spark, root + "/rejected", ingest.REJECTED)
-    assert sorted(r["reason"] for r in kept.collect()) == ["late", "not_json"]
+    assert [r["reason"] for r in kept.collect()] == ["not_json"]
+    found = ingest.current_readings(spark, root)
+    late = {r["timestamp"]: r["failure_start"] for r in found.filter("late").collect()}
+    assert late == {at(15): at(10), at(5): None, at(12): None}
+    assert found.count() == 7 and found.select("reading_id").distinct().count() == 7
     rows = ingest.current_failures(spark, root).collect()
-    assert [(r["start_time"], r["end_time"], r["n_readings"]) for r in rows] == [(at(10), at(30), 2)]
-    assert text.count() == 5
+    assert [(r["start_time"], r["end_time"], r["n_readings"]) for r in rows] == [(at(10), at(30), 3)]
+    seen = {r["machine_id"]: r["first_seen"] for r in ingest.current_machines(spark, root, 1).collect()}
+    assert seen == {"a": at(5), "b": at(1)}
+
+
+def test_readings_of_one_instant_are_all_stored(make_readings, tmp_path):
+    df = make_readings([(f"m{i}", 20, i % 2, {"Sensor 1": float(j)}) for i in range(40) for j in (0, 0, 1)])
+    spark, root = df.sparkSession, str(tmp_path)
+    for part in range(3):
+        ingest.ingest_batch(messages.encode(df.filter(F.col("reading_id") % 3 == part)).select("value"), part, root)
+    found = ingest.current_readings(spark, root)
+    assert found.count() == 120 and found.filter("late").count() == 0
+    assert found.select("reading_id").distinct().count() == 120
+    assert found.filter("failure_id is not null").count() == 60
+
+
+def test_a_bad_value_does_not_join_episodes(make_readings, tmp_path):
+    df = make_readings([("a", 10, 1), ("a", 20, 0), ("a", 30, 1), ("a", 40, 0)])
+    spark, root = df.sparkSession, str(tmp_path)
+    sent = messages.encode(df).select(
+        F.when(F.col("value").contains("00:00:20"), F.regexp_replace("value", '"Sensor 1":[^,}]*', '"Sensor 1":"n/a"'))
+        .otherwise(F.col("value")).alias("value")
+    )
+    ingest.ingest_batch(sent, 0, root)
+    assert ingest.current_readings(spark, root).count() == 4
+    assert ingest.current_failures(spark, root).count() == 2
+
+
+def test_parts_cover_all_rows_whatever_their_time(spark):
+    from millwatch.plans.on_streams import PARTS, in_parts
+
+    df = spark.sql("SELECT timestamp_seconds(x * 40000000L) AS timestamp, x FROM (SELECT explode(sequence(-9, 60)) AS x) UNION ALL SELECT NULL, 999")
+    seen, runs = [], []
+    in_parts(df, lambda part: seen.append({r["x"] for r in part.collect()}), lambda: runs.append(1))
+    assert len(runs) == PARTS and sorted(x for s in seen for x in s) == [*range(-9, 61), 999]
+    assert all(seen) and 999 in seen[0]
+
+
+def test_a_lost_state_is_an_error(make_readings, tmp_path):
+    batch = messages.encode(make_readings([("a", 1, 1)])).select("value")
+    with pytest.raises(Exception, match="PATH_NOT_FOUND|does not exist"):
+        ingest.ingest_batch(batch, 3, str(tmp_path))
 
 
 MODEL = Model(
@@ -140,7 +183,50 @@ def test_readings_scored_before_are_not_scored_again(make_readings, tmp_path):
     ]
 
 
-def test_only_local_sessions_fall_back_to_a_temporary_folder(spark):
-    from millwatch.session import scratch_root
+def test_the_scratch_folder_is_the_configured_one(spark, monkeypatch):
+    from millwatch import session
+
+    assert session.scratch_root(spark) == spark.conf.get("spark.checkpoint.dir")
+    assert session.single_process("local") and session.single_process("local[8]")
+    assert not session.single_process("local-cluster[2,1,1024]")
+    assert not session.single_process("spark://host:7077")
+
+    class Bare:
+        class conf:  # noqa: N801
+            get = staticmethod(lambda key, default: default)
+
+        class sparkContext:  # noqa: N801
+            master = "yarn"
+
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        session.scratch_root(Bare)
+
 
-    assert scratch_root(spark) == spark.conf.get("spark.checkpoint.dir")
+def test_work_per_trigger_does_not_grow_with_past_batches(make_readings, tmp_path, monkeypatch):
+    root, seen = str(tmp_path), []
+    real = tables.read_days
+
+    def counted(spark, path, schema, days, batch_id=None):
+        df = real(spark, path, schema, days, batch_id)
+        seen.append(len(df.inputFiles()))
+        return df
+
+    monkeypatch.setattr(tables, "read_days", counted)
+    monkeypatch.setattr(tables, "read_batches", None)
+    for part in range(5):
+        df = make_readings([("a", part * 86400 + i, 0) for i in range(3)])
+        scoring.score_batch(df.withColumn("reading_id", F.col("reading_id") + 10 * part), part, root, MODEL)
+    assert seen[0::2] == [0] * 5 and len(set(seen[1::2])) == 1
+
+
+def test_an_empty_registry_is_waited_for(make_readings, tmp_path, monkeypatch):
+    df = make_readings([("a", i, 0) for i in range(3)])
+    spark, root = df.sparkSession, str(tmp_path)
+    df.withColumns({"closes": F.lit(None).cast("bigint"), "failure_id": F.lit(None).cast("bigint")}).write.parquet(root + "/in")
+    models = [None, None, MODEL]
+    monkeypatch.setattr(scoring, "load_active", lambda *_: models.pop(0))
+    monkeypatch.setattr(scoring, "pick_up_versions", lambda *_: False)
+    stream = spark.readStream.schema(spark.read.parquet(root + "/in").schema).parquet(root + "/in")
+    scoring.start_scoring(stream, root, root + "/checkpoint", poll_seconds=0.01).awaitTermination()
+    assert tables.read_batches(spark, root + "/predictions", PREDICTIONS, by_date=True).count() == 3
+    assert not models
