@@ -36,6 +36,7 @@ INDEX = "file string, seq bigint, doc_id bigint, offset bigint, length bigint, n
 ROWS = "file string, seq bigint, doc_id bigint, n_tokens bigint, ids_crc32 bigint"
 _FRAME = 16
 _READ = 8_000_000
+_SLICE = 1_000_000
 
 Encoder = Callable[[], "WordEncoder"]
 
@@ -70,24 +71,47 @@ def _checked(data: bytes, at: int, file: str) -> bytes:
     return payload
 
 
+_LETTER = np.zeros(256, bool)
+_LETTER[0x41:0x5B] = True
+_LETTER[0x61:0x7B] = True
+_DIGIT = np.zeros(256, bool)
+_DIGIT[0x30:0x3A] = True
+_MARK = np.zeros(256, bool)
+_MARK[[c for c in range(0x21, 0x7F) if not chr(c).isalnum() and c != 0x27]] = True
+
+
+def _sure_breaks(data: np.ndarray) -> np.ndarray:
+    """Bytes before which the tokenizer's pre-tokenizer always breaks.
+
+    Between an ASCII letter and an ASCII mark other than the apostrophe, and around ASCII digits.
+    """
+    at = np.zeros(len(data), bool)
+    letter, mark, digit = _LETTER[data], _MARK[data], _DIGIT[data]
+    at[1:] = (letter[:-1] & mark[1:]) | (mark[:-1] & letter[1:]) | digit[1:] | digit[:-1]
+    return at
+
+
 class WordEncoder:
-    """Encodes texts with a tokenizer that treats white space as a boundary only.
+    """Encodes texts with a tokenizer that lower-cases and breaks at white space, marks and digits.
 
-    Every run of characters between white space is encoded once and then looked up by its 64-bit
-    hash, which makes common words cheap. ``most`` bounds the words remembered at a time.
+    A piece between such breaks is encoded once and then looked up by its 64-bit hash, which makes
+    common words cheap. Slices in which a special token is spelt out are cut at white space only,
+    in their own case. ``most`` bounds the pieces remembered at a time.
     """
 
-    def __init__(self, path: str, most: int = 400_000):
+    def __init__(self, path: str, most: int = 1_000_000):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.vocabulary = self.tokenizer.get_vocab_size()
+        added = self.tokenizer.get_added_tokens_decoder().values()
+        self.special = [t.content.lower().encode() for t in added]
         self.most = most
         self.forget()
 
     def forget(self) -> None:
         self.known = np.zeros(0, np.uint64)
-        self.slot = np.zeros(0, np.int64)
+        self.slot = np.zeros(0, np.int32)
         self.begin = np.zeros(1, np.int64)
         self.pieces = np.zeros(0, np.uint32)
 
@@ -97,19 +121,24 @@ class WordEncoder:
             raw[a:b].decode("utf-8")
             for a, b in zip(split.start[first].tolist(), split.stop[first].tolist(), strict=True)
         ]
-        coded = [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
-        sizes = np.array([len(x) for x in coded], np.int64)
-        flat = np.fromiter((i for x in coded for i in x), np.uint32, int(sizes.sum()))
-        slots = len(self.begin) - 1 + np.arange(len(coded))
+        code = self.tokenizer.encode
+        # one at a time: the tokenizer's result objects are large
+        coded = [np.array(code(t, add_special_tokens=False).ids, np.uint32) for t in texts]
+        sizes = np.fromiter(map(len, coded), np.int64, len(coded))
+        flat = np.concatenate(coded)
+        slots = (len(self.begin) - 1 + np.arange(len(coded))).astype(np.int32)
         self.begin = np.concatenate([self.begin, self.begin[-1] + np.cumsum(sizes)])
         self.pieces = np.concatenate([self.pieces, flat])
-        known = np.concatenate([self.known, hashes])
-        order = np.argsort(known)
-        self.known, self.slot = known[order], np.concatenate([self.slot, slots])[order]
+        # both are sorted: merging is an insertion
+        at = np.searchsorted(self.known, hashes)
+        self.known = np.insert(self.known, at, hashes)
+        self.slot = np.insert(self.slot, at, slots)
 
     def encode(self, column: pa.Array, end: int | None) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all rows and each row's range of them."""
-        split = W.split(column, fold=False)
+        split = W.split(column, fold=True, cut=_sure_breaks)
+        if b"<" in (whole := split.data.tobytes()) and any(t in whole.lower() for t in self.special):
+            split = W.split(column, fold=False)
         hashes, first, which = np.unique(split.hashes, return_index=True, return_inverse=True)
         if len(self.known) + len(hashes) > self.most:
             self.forget()
@@ -119,10 +148,11 @@ class WordEncoder:
         new[inside] = self.known[at[inside]] != hashes[inside]
         if new.any():
             self.learn(split, hashes[new], first[new])
-        slot = self.slot[np.searchsorted(self.known, hashes)][which]
-        sizes = (self.begin[1:] - self.begin[:-1])[slot]
+        slot = self.slot[np.searchsorted(self.known, hashes)]
+        begin, size = self.begin[slot], (self.begin[1:] - self.begin[:-1])[slot]
+        sizes = size[which]
         ends = np.cumsum(sizes)
-        source = np.arange(sizes.sum()) + np.repeat(self.begin[slot] - (ends - sizes), sizes)
+        source = np.arange(sizes.sum()) + np.repeat(begin[which] - (ends - sizes), sizes)
         ids = self.pieces[source]
         bounds = np.concatenate([[0], ends])[split.bounds]
         if end is not None:
@@ -166,7 +196,7 @@ def write(
         own = f"{base}/.{name}-{uuid.uuid4().hex}"
         out, offset, seq = None, 0, 0
         for batch in batches:
-            for part in W.slices(batch, "text"):
+            for part in W.slices(batch, "text", _SLICE):
                 if out is None:
                     where.create_dir(base, recursive=True)
                     out = where.open_output_stream(own)

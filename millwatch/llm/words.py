@@ -7,7 +7,7 @@ All functions work on whole texts, a bounded slice of rows at a time.
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -79,13 +79,24 @@ def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return raw[at[0] : at[-1]], at - at[0]
 
 
-def split(column: pa.Array, fold: bool = True, inside: np.ndarray = _IS_WORD) -> Words:
-    """Words of every row; ``fold`` hashes A-Z as a-z; ``inside`` says which bytes make words."""
+def split(
+    column: pa.Array,
+    fold: bool = True,
+    inside: np.ndarray = _IS_WORD,
+    cut: Callable[[np.ndarray], np.ndarray] | None = None,
+) -> Words:
+    """Words of every row.
+
+    ``fold`` hashes A-Z as a-z, ``inside`` says which bytes make words, and ``cut`` marks the bytes
+    at which a new word begins inside one.
+    """
     data, rows = text_bytes(column)
     of_words = inside
     inside = of_words[data]
     edge = np.zeros(len(data) + 1, bool)
     edge[rows] = True  # a word never crosses rows
+    if cut is not None:
+        edge[:-1] |= cut(data)
     before = np.empty(len(data), bool)
     before[:1] = False
     before[1:] = inside[:-1]
