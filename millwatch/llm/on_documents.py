@@ -12,8 +12,49 @@ from .store import keep
 
 TOKENIZER = "word_bpe_49k.json"
 
-
-@query()
+_WORDS_SQL = """regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+  'abcdefghijklmnopqrstuvwxyz'), '[^\\x20\\x09-\\x0D]+')"""
+_RUNS_SQL = "list_transform(range(1, len(ws) - 3), lambda i: array_to_string(ws[i:i + 4], ' '))"
+
+CONTAINED_SQL = f"""
+WITH d AS (SELECT doc_id, {_WORDS_SQL} AS ws FROM documents),
+b AS (SELECT item_id, {_WORDS_SQL} AS ws FROM benchmark),
+ds AS (SELECT DISTINCT doc_id, unnest({_RUNS_SQL}) AS sh FROM d WHERE len(ws) >= 5),
+bs AS (SELECT DISTINCT item_id, unnest({_RUNS_SQL}) AS sh FROM b WHERE len(ws) >= 5),
+n AS (SELECT item_id, count(*) AS n_shingles FROM bs GROUP BY item_id),
+found AS (
+  SELECT doc_id, item_id, n_shingles, count(*) AS n_shared
+  FROM ds JOIN bs USING (sh) JOIN n USING (item_id) GROUP BY ALL
+  HAVING 10 * count(*) >= 8 * n_shingles
+  UNION ALL
+  SELECT doc_id, item_id, 1, 1 FROM d, b
+  WHERE len(b.ws) BETWEEN 1 AND 4
+    AND contains(' ' || array_to_string(d.ws, ' ') || ' ', ' ' || array_to_string(b.ws, ' ') || ' '))
+SELECT doc_id, item_id, n_shingles, n_shared, n_shared / n_shingles AS containment FROM found"""
+
+GROUPS_SQL = f"""
+WITH RECURSIVE d AS (SELECT doc_id, {_WORDS_SQL} AS ws FROM documents),
+s AS (
+  SELECT DISTINCT doc_id, unnest(CASE WHEN len(ws) = 0 THEN [] WHEN len(ws) < 5 THEN [array_to_string(ws, ' ')]
+                                      ELSE {_RUNS_SQL} END) AS sh FROM d),
+n AS MATERIALIZED (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+shared AS MATERIALIZED (
+  SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS i
+  FROM s x JOIN s y ON x.sh = y.sh AND x.doc_id < y.doc_id GROUP BY ALL),
+links AS MATERIALIZED (
+  SELECT a, b, i = p.n AND i = q.n AS equal
+  FROM shared JOIN n p ON p.doc_id = a JOIN n q ON q.doc_id = b WHERE 100 * i >= 80 * (p.n + q.n - i)),
+steps AS MATERIALIZED (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
+reach AS (
+  SELECT doc_id AS node, doc_id AS far FROM d
+  UNION SELECT node, steps.b FROM reach JOIN steps ON steps.a = far),
+low AS (SELECT node AS doc_id, min(far) AS component_id FROM reach GROUP BY node),
+classes AS (SELECT b AS doc_id, min(a) AS class_id FROM links WHERE equal GROUP BY b)
+SELECT d.doc_id, coalesce(n, 0) AS n_shingles, component_id, coalesce(class_id, d.doc_id) AS class_id
+FROM d LEFT JOIN n USING (doc_id) JOIN low USING (doc_id) LEFT JOIN classes USING (doc_id)"""
+
+
+@query(CONTAINED_SQL)
 def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Benchmark items found in documents."""
     docs = table(spark, sf_dir, "documents")
@@ -28,7 +69,7 @@ def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@query()
+@query(GROUPS_SQL)
 def op6_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Groups of near-duplicate documents."""
     return similarity.similar_groups(table(spark, sf_dir, "documents")).select(
