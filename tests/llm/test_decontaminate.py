@@ -1,7 +1,7 @@
 import math
 
 import duckdb
-from conftest import shingles, words
+from texts import no_docs, odd_docs, shingles, words  # noqa: F401
 
 from millwatch.llm import decontaminate as D
 from millwatch.llm import on_documents

@@ -4,6 +4,7 @@ import duckdb
 from pyspark.sql import functions as F
 
 from millwatch.llm import fingerprint, on_documents
+from texts import no_docs, odd_docs  # noqa: F401
 
 SF = "/root/testdata/sf0.001"
 

@@ -7,6 +7,7 @@ import pyarrow as pa
 
 from millwatch.llm import language as L
 from millwatch.llm import on_documents
+from texts import no_docs, odd_docs  # noqa: F401
 
 SF = "/root/testdata/sf0.01"
 

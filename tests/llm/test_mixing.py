@@ -1,7 +1,7 @@
 from collections import Counter
 
 import duckdb
-from conftest import words
+from texts import no_docs, odd_docs, words  # noqa: F401
 
 from millwatch.llm import mixing, on_documents
 

@@ -6,6 +6,7 @@ import pyarrow as pa
 from pyspark.sql import functions as F
 
 from millwatch.llm import on_documents, quality
+from texts import no_docs, odd_docs  # noqa: F401
 
 SF = "/root/testdata/sf0.01"
 

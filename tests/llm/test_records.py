@@ -10,6 +10,7 @@ from tokenizers import Tokenizer
 from millwatch.llm import on_documents, records
 from millwatch.llm.store import keep
 from millwatch.session import scratch_path
+from texts import no_docs, odd_docs  # noqa: F401
 
 SF = "/root/testdata/sf0.001"
 

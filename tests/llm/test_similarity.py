@@ -2,7 +2,7 @@ import random
 
 import duckdb
 import pytest
-from conftest import shingles
+from texts import no_docs, odd_docs, shingles  # noqa: F401
 from pyspark.sql import functions as F
 
 from millwatch.llm import graph, on_documents, similarity
@@ -43,10 +43,10 @@ def test_against_brute_force(spark):
     assert result(on_documents.op6_jaccard_join(spark, SF)) == brute(docs)
 
 
-@pytest.mark.parametrize("hot", [64, 3])
-def test_sizes_and_thresholds(spark, hot):
+@pytest.mark.parametrize("seed", [64, 3])
+def test_sizes_and_thresholds(spark, seed):
     """Small sets, sets at the threshold, long chains, large groups and shared passages."""
-    rng = random.Random(hot)
+    rng = random.Random(seed)
     word = lambda: "w%d" % rng.randrange(10**6)
     texts = []
     for n in (1, 2, 4, 5, 6, 7, 8, 9, 10, 12, 15, 20, 40, 90, 200, 400):
@@ -76,7 +76,7 @@ def test_sizes_and_thresholds(spark, hot):
     rng.shuffle(texts)
     docs = [(i, " ".join(t)) for i, t in enumerate(texts)]
     frame = spark.createDataFrame(docs, "doc_id bigint, text string").repartition(5)
-    assert result(similarity.similar_groups(frame, hot=hot)) == brute(docs)
+    assert result(similarity.similar_groups(frame)) == brute(docs)
 
 
 def test_odd_rows(spark, odd_docs, no_docs):
