@@ -17,8 +17,8 @@ and, as a lower guest, in the next; ``d`` and the number of blocks belong to the
 *Exactness.* Equal empty blocks say nothing and are not joined. A document is safe in a band if more
 than ``d`` of its blocks can be joined on: then any partner shares one of them. Documents that are not
 safe register again under other block assignments until they are, in the end with their empty
-blocks. Blocks that very many documents share (a passage, a large group of near copies) are ignored
-for every document that stays safe without them; only the others are compared through them.
+blocks. Of its blocks a document is joined only on the rarest, blocks that nobody shares counting
+as such; the blocks of a passage that very many documents share are the last resort.
 
 *No pairs within a group.* Documents with equal sets are one class, joined once. In every bucket the
 members are compared with one leader, links are merged into components, buckets that lie in one
@@ -39,17 +39,15 @@ from functools import cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import words as W
 from .graph import components
-from .store import keep, remove
+from .store import keep, release, remove
 
 PERCENT = 80
 SKETCH_BITS = 1024
-HOT = 64
-"""Members from which a bucket counts as shared by many."""
 LEADER_ROUNDS = 2
 FILTER_BITS = 1 << 26
 """Bits of the filter that limits which texts are read again; more members only make it read more."""
@@ -255,20 +253,24 @@ def shared_buckets(rows: DataFrame) -> DataFrame:
     return dealt.mapInArrow(run, "key bigint, cls bigint, own boolean")
 
 
-def without_popular(members: DataFrame, classes: DataFrame, hot: int) -> DataFrame:
-    """Drops the rows of popular buckets whose class is safe without them."""
+def rarest(members: DataFrame, classes: DataFrame) -> DataFrame:
+    """Keeps the rows of each class's rarest blocks, as many as exactness needs.
+
+    Blocks are features: linked sets share all but ``d`` of them, so under one order of all blocks
+    they share one of the first ``d + 1`` of each (prefix filter). The order is by members, and
+    blocks that nobody shares come first without being stored; a class can do without as many
+    of its most popular blocks as it has to spare.
+    """
     sizes = members.groupBy("key").agg(F.count(F.lit(1)).alias("m"))
-    popular = sizes.filter(F.col("m") > hot).select("key")
-    held = members.join(popular, "key")
-    slack = F.when(F.col("own"), F.col("slack_own")).otherwise(F.col("slack_low"))
-    unsafe = (
-        held.groupBy("cls", "own").agg(F.count(F.lit(1)).alias("n_popular"))
+    spare = F.when(F.col("own"), F.col("slack_own")).otherwise(F.col("slack_low"))
+    most_popular_first = Window.partitionBy("cls", "own").orderBy(F.desc("m"), F.desc("key"))
+    return (
+        members.join(sizes, "key")
         .join(classes.select("cls", "slack_own", "slack_low"), "cls")
-        .filter(F.col("n_popular") > slack)
-        .select("cls", "own")
-    )
-    still = held.join(unsafe, ["cls", "own"], "left_semi").select("key", "cls", "own")
-    return members.join(popular, "key", "left_anti").select("key", "cls", "own").union(still)
+        .withColumn("place", F.row_number().over(most_popular_first))
+        .filter(F.col("place") > spare)
+        .select("key", "cls", "own")
+    )
 
 
 def _hamming(a: str, b: str) -> Column:
@@ -276,14 +278,38 @@ def _hamming(a: str, b: str) -> Column:
     return F.aggregate(distance, F.lit(0), lambda s, x: s + x)
 
 
+def _fits(percent: int) -> Column:
+    """Whether sizes and sketches of both sides allow a link."""
+    sizes = F.least("n_a", "n_b") * 100 >= F.greatest("n_a", "n_b") * percent
+    near = _hamming("s_a", "s_b") * (100 + percent) <= (F.col("n_a") + F.col("n_b")) * (100 - percent)
+    return F.when(sizes, near).otherwise(F.lit(False))
+
+
+def _side(classes: DataFrame, name: str) -> DataFrame:
+    return classes.select(
+        F.col("cls").alias(name), F.col("n_shingles").alias(f"n_{name}"), F.col("sketch").alias(f"s_{name}")
+    )
+
+
 def plausible(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
     """The pairs ``a, b`` that sizes and sketches allow to link, with the sizes."""
-    side = classes.select("cls", F.col("n_shingles").alias("n"), "sketch")
-    left = side.select(F.col("cls").alias("a"), F.col("n").alias("n_a"), F.col("sketch").alias("s_a"))
-    right = side.select(F.col("cls").alias("b"), F.col("n").alias("n_b"), F.col("sketch").alias("s_b"))
-    fits = F.least("n_a", "n_b") * 100 >= F.greatest("n_a", "n_b") * percent
-    near = _hamming("s_a", "s_b") * (100 + percent) <= (F.col("n_a") + F.col("n_b")) * (100 - percent)
-    return pairs.join(left, "a").join(right, "b").filter(fits & near).select("a", "b", "n_a", "n_b")
+    both = pairs.join(_side(classes, "a"), "a").join(_side(classes, "b"), "b")
+    return both.filter(_fits(percent)).select("a", "b", "n_a", "n_b")
+
+
+def across(members: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
+    """Plausible pairs of different components in one bucket; others never leave the join."""
+    one = members.select("key", F.col("cls").alias("a"), F.col("own").alias("own_a"), F.col("comp").alias("c_a"))
+    two = members.select("key", F.col("cls").alias("b"), F.col("own").alias("own_b"), F.col("comp").alias("c_b"))
+    one, two = one.join(_side(classes, "a"), "a"), two.join(_side(classes, "b"), "b")
+    meets = (
+        (one["key"] == two["key"])
+        & (F.col("a") < F.col("b"))
+        & (F.col("c_a") != F.col("c_b"))
+        & (F.col("own_a") | F.col("own_b"))
+        & _fits(percent)
+    )
+    return one.join(two, meets).select("a", "b", "n_a", "n_b").distinct()
 
 
 def _filter_of(ids: DataFrame) -> bytes:
@@ -331,31 +357,27 @@ def read_sets(named: DataFrame, ids: DataFrame) -> DataFrame:
 
 def verified(named: DataFrame, pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
     """The pairs whose sets really are that similar."""
-    spark = named.sparkSession
     ends = pairs.select(F.col("a").alias("cls")).union(pairs.select("b")).distinct()
     ids = classes.join(ends, "cls", "left_semi").select("doc_id")
-    sets = read_sets(named, ids).join(ends, "cls", "left_semi").dropDuplicates(["cls"])
-    sets, path = keep(sets, "sets")
+    # one exchange by class serves both sides
+    sets = read_sets(named, ids).groupBy("cls").agg(F.first("shingles").alias("shingles"))
     a = sets.select(F.col("cls").alias("a"), F.col("shingles").alias("s_a"))
     b = sets.select(F.col("cls").alias("b"), F.col("shingles").alias("s_b"))
     shared = F.size(F.array_intersect("s_a", "s_b"))
     same = pairs.join(a, "a").join(b, "b").withColumn("shared", shared)
     union = F.col("n_a") + F.col("n_b") - F.col("shared")
-    links, _ = keep(same.filter(F.col("shared") * 100 >= union * percent).select("a", "b"), "links")
-    remove(spark, path)
-    return links
-
-
-def _ordered(pairs: DataFrame) -> DataFrame:
-    return pairs.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
+    return keep(same.filter(F.col("shared") * 100 >= union * percent).select("a", "b"), "links")[0]
 
 
 def _star(members: DataFrame, turn: int) -> DataFrame:
-    """Every member with its bucket's leader, if both can differ; one aggregation by bucket."""
+    """Every member with its bucket's leader; at first only with the leader it meets most often."""
     order = F.when(F.col("own"), F.struct(F.xxhash64(F.lit(turn), "cls").alias("o"), F.col("cls")))
     lead = members.groupBy("key").agg(F.min(order).alias("lead")).filter(F.col("lead").isNotNull())
     pairs = members.join(lead, "key").select(F.col("cls").alias("x"), F.col("lead.cls").alias("y"))
-    return _ordered(pairs.filter("x <> y"))
+    pairs = pairs.filter("x <> y").groupBy("x", "y").agg(F.count(F.lit(1)).alias("n"))
+    if turn == 0:
+        pairs = pairs.groupBy("x").agg(F.max_by("y", F.struct("n", "y")).alias("y"))
+    return pairs.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
 
 
 def _open_buckets(members: DataFrame, label: DataFrame) -> DataFrame:
@@ -367,47 +389,33 @@ def _open_buckets(members: DataFrame, label: DataFrame) -> DataFrame:
 
 
 def jaccard_links(
-    named: DataFrame, classes: DataFrame, percent: int, hot: int, paths: list[str]
+    named: DataFrame, classes: DataFrame, percent: int, paths: list[str]
 ) -> DataFrame:
     """Links ``a, b`` between classes that span every component."""
     spark = named.sparkSession
     members, raw = keep(shared_buckets(bucket_rows(named, percent)), "buckets")
-    spark.sparkContext._jvm.System.gc()  # lets Spark delete the files of the large exchange
-    members, path = keep(without_popular(members, classes, hot), "members")
+    release(spark)
+    members, path = keep(rarest(members, classes), "members")
     remove(spark, raw)
     paths.append(path)
     links = spark.createDataFrame([], "a bigint, b bigint")
-    tried = spark.createDataFrame([], "a bigint, b bigint")
     label = spark.createDataFrame([], "node bigint, comp bigint")
+    tried = spark.createDataFrame([], "a bigint, b bigint")
     for turn in range(LEADER_ROUNDS + 1):
         if turn < LEADER_ROUNDS:
-            pairs = _star(members, turn)
+            pairs = plausible(_star(members, turn), classes, percent)
         else:
-            one = members.select("key", F.col("cls").alias("x"), F.col("own").alias("own_x"), F.col("comp").alias("comp_x"))
-            two = members.select("key", F.col("cls").alias("y"), F.col("own").alias("own_y"), F.col("comp").alias("comp_y"))
-            meets = (F.col("x") < F.col("y")) & (F.col("comp_x") != F.col("comp_y")) & (F.col("own_x") | F.col("own_y"))
-            pairs = _ordered(one.join(two, "key").filter(meets))
-        if turn:
-            tags = label.select("node", "comp")
-            pairs = (
-                pairs.join(tags.select(F.col("node").alias("a"), F.col("comp").alias("c_a")), "a", "left")
-                .join(tags.select(F.col("node").alias("b"), F.col("comp").alias("c_b")), "b", "left")
-                .filter(F.coalesce("c_a", "a") != F.coalesce("c_b", "b"))
-                .join(tried, ["a", "b"], "left_anti")
-                .select("a", "b")
-            )
-        pairs, path = keep(plausible(pairs, classes, percent), "pairs")
+            pairs = across(members, classes, percent)
+        pairs, path = keep(pairs.join(tried, ["a", "b"], "left_anti"), "pairs")
         paths.append(path)
-        if pairs.isEmpty():
-            if turn < LEADER_ROUNDS:
-                members = _open_buckets(members, label)
-            continue
-        links = links.union(verified(named, pairs, classes, percent))
-        tried = tried.union(pairs.select("a", "b"))
-        label = components(links)
+        if not pairs.isEmpty():
+            tried = tried.union(pairs.select("a", "b"))
+            links = links.union(verified(named, pairs, classes, percent))
+            label = components(links)
         if turn < LEADER_ROUNDS:
             members, path = keep(_open_buckets(members, label), "members")
             paths.append(path)
+        release(spark)
     return links
 
 
@@ -416,7 +424,6 @@ def similar_groups(
     doc_id: str = "doc_id",
     text: str = "text",
     percent: int = PERCENT,
-    hot: int = HOT,
 ) -> DataFrame:
     """One row per document: ``doc_id, n_shingles, class_id, component_id``.
 
@@ -433,7 +440,7 @@ def similar_groups(
     )
     classes, class_path = keep(classes, "class")
     paths: list[str] = []
-    links = jaccard_links(named, classes, percent, hot, paths)
+    links = jaccard_links(named, classes, percent, paths)
     label = components(links).withColumnRenamed("node", "cls")
     named_class = classes.select("cls", F.col("doc_id").alias("class_id")).join(label, "cls", "left")
     lowest = named_class.groupBy(F.coalesce("comp", "cls").alias("comp")).agg(

@@ -2,8 +2,7 @@
 
 from __future__ import annotations
 
-from contextlib import contextmanager
-from collections.abc import Iterator
+import gc
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -28,11 +27,11 @@ def remove(spark: SparkSession, *paths: str) -> None:
         where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
 
 
-@contextmanager
-def scratch(spark: SparkSession) -> Iterator[list[str]]:
-    """Collects paths of intermediate tables and removes them on leaving."""
-    paths: list[str] = []
-    try:
-        yield paths
-    finally:
-        remove(spark, *paths)
+def release(spark: SparkSession) -> None:
+    """Lets Spark delete the shuffle files of stored and dropped plans now.
+
+    It does so when the driver's JVM finds their plans to be garbage, which without this may
+    take until long after the disk is full.
+    """
+    gc.collect()
+    spark._jvm.System.gc()
