@@ -123,9 +123,9 @@ def profiles_json(profiles: DataFrame) -> DataFrame:
 def describe_predictions(predictions: DataFrame, profiles: DataFrame) -> DataFrame:
     """Predictions with their cluster's profile, or the reason why there is none.
 
-    ``profiles`` has one row per cluster of one model and is broadcast.
+    ``profiles`` has one row per cluster of one model; how it is joined is left to its size.
     """
-    known = F.broadcast(profiles.drop("cluster_name"))
+    known = profiles.drop("cluster_name")
     n_profiles = profiles.agg(F.count(F.lit(1))).scalar()
     missing = F.concat(
         F.lit("Cluster "), F.col("cluster_id").cast("string"), F.lit(" not found in profiles")

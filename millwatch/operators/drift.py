@@ -19,10 +19,19 @@ BATCHES_PER_CELL = 500_000
 
 
 def batch_distribution(scored: DataFrame, k: int) -> DataFrame:
-    """``(batch_no, n, freqs)``: share of each cluster 0..k-1 in every batch."""
+    """``(batch_no, n, freqs)``: share of each cluster 0..k-1 in every batch.
+
+    Readings without a cluster do not count. A cluster from ``k`` on fails the job, as the shares
+    would no longer add up to 1.
+    """
     total = F.count(F.lit(1))
-    freqs = F.array(*[F.count_if(F.col("cluster_id") == c) / total for c in range(k)])
-    return scored.groupBy("batch_no").agg(total.alias("n"), freqs.alias("freqs"))
+    beyond = F.concat(F.lit(f"cluster beyond the {k} of the model: "), F.col("cluster_id").cast("string"))
+    known = F.when(F.col("cluster_id").between(0, k - 1), F.col("cluster_id")).otherwise(
+        F.raise_error(beyond)
+    )
+    rows = scored.filter("cluster_id is not null").select("batch_no", known.alias("_cluster"))
+    freqs = F.array(*[F.count_if(F.col("_cluster") == c) / total for c in range(k)])
+    return rows.groupBy("batch_no").agg(total.alias("n"), freqs.alias("freqs"))
 
 
 def distribution_long(distributions: DataFrame, column: str = "freqs") -> DataFrame:

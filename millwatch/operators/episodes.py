@@ -238,9 +238,18 @@ def in_lookback(
     )
 
 
-def episode_readings(episodes: DataFrame, linked: DataFrame, machine_table: DataFrame) -> DataFrame:
-    """Readings of the given episodes with their machine; episodes without readings drop out."""
-    members = linked.filter(F.col("failure_id").isNotNull()).drop("closes", "failure_start")
-    return members.join(
-        episodes.select("machine_id", "failure_id", "start_time"), ["machine_id", "failure_id"]
-    ).join(machine_table, "machine_id")
+def episode_readings(
+    episodes: DataFrame | None, linked: DataFrame, machine_table: DataFrame
+) -> DataFrame:
+    """Readings of the given episodes with their machine; episodes without readings drop out.
+
+    Without ``episodes`` all of them are meant: the start that the readings carry then saves the join.
+    """
+    members = linked.filter(F.col("failure_id").isNotNull()).drop("closes")
+    if episodes is None:
+        started = members.withColumnRenamed("failure_start", "start_time")
+    else:
+        started = members.drop("failure_start").join(
+            episodes.select("machine_id", "failure_id", "start_time"), ["machine_id", "failure_id"]
+        )
+    return started.join(machine_table, "machine_id")

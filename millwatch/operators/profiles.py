@@ -77,11 +77,11 @@ def or_default(found: DataFrame, default: DataFrame) -> DataFrame:
 def clamp_readings(df: DataFrame, profile: DataFrame) -> DataFrame:
     """Clamps long readings ``(…, sensor, value)`` to the sensor profile.
 
-    The profile has one row per sensor of the table's schema, so it is broadcast.
+    The profile has one row per sensor; how it is joined is left to its size.
     """
     bounds = profile.select("sensor", F.col("min").alias("_low"), F.col("max").alias("_high"))
     return (
-        df.join(F.broadcast(bounds), "sensor")
+        df.join(bounds, "sensor")
         .withColumn("value", clamp_to_profile(F.col("value"), F.col("_low"), F.col("_high")))
         .drop("_low", "_high")
     )

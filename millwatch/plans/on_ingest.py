@@ -202,8 +202,8 @@ SELECT m.machine_id, m.failure_id, m.reading_id, m.start_time, m."timestamp", s.
 FROM members m JOIN spans s USING (machine_id)"""
 )
 def episode_readings_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = linked(spark, sf_dir)
-    joined = ep.episode_readings(ep.failures(rows), rows, ep.machines(views.readings(spark, sf_dir)))
+    machines = ep.machines(views.readings(spark, sf_dir))
+    joined = ep.episode_readings(None, linked(spark, sf_dir), machines)
     return joined.select(
         "machine_id",
         "failure_id",

@@ -110,3 +110,12 @@ def test_summary_takes_the_last_known_value(spark):
     df = spark.createDataFrame([(1, 0.5), (2, 0.1), (3, None)], "n int, v double")
     row = mo.series_summary(df, "n", "v").first()
     assert (row["last_value"], row["max_value"]) == (0.1, 0.5)
+
+
+def test_an_unknown_cluster_fails_and_a_missing_one_does_not_count(spark):
+    rows = [(0, 0), (0, 1), (0, None)]
+    df = spark.createDataFrame(rows, "batch_no bigint, cluster_id int")
+    row = dr.batch_distribution(df, 2).first()
+    assert (row["n"], row["freqs"]) == (2, [0.5, 0.5])
+    with pytest.raises(Exception, match="cluster beyond"):
+        dr.batch_distribution(df, 1).collect()
