@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from .store import keep
 
 SPACES = " \t\n\x0b\f\r"
-CELL_ROWS = 20_000
+CELL_ROWS = 4_000
 
 
 def n_words(text: Column) -> Column:
