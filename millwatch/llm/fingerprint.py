@@ -26,7 +26,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .store import keep
+from .store import keep, release
 
 SUBSETS = 32
 LOW_SHARE = 1 / 2000
@@ -72,10 +72,9 @@ def subset_hashes(found: Column, parts: Column) -> Column:
 
     def one(i: Column) -> Column:
         mine = F.transform(F.filter(tagged, lambda x: x["s"] == i), lambda x: x["t"])
-        # 31 bits are enough to tell subsets apart and never 0
-        return F.when(F.size(mine) == 0, F.lit(0)).otherwise(
-            ((F.xxhash64(mine).bitwiseAND(0x7FFFFFFE)) + 1).cast("int")
-        )
+        # two bytes tell subsets well enough apart; 0 is for none
+        code = F.pmod(F.xxhash64(mine), F.lit(32767)) + 1
+        return F.when(F.size(mine) == 0, F.lit(0)).otherwise(code).cast("smallint")
 
     return F.transform(F.sequence(F.lit(0), F.lit(SUBSETS - 1)), one)
 
@@ -85,15 +84,15 @@ def print_of(found: Column, parts: Column, everything: Column) -> Column:
     none = F.size(found) == 0
     return F.struct(
         F.when(none, F.lit(0)).otherwise(parts).cast("bigint").alias("parts"),
-        F.when(none, F.array().cast("array<int>")).otherwise(subset_hashes(found, parts)).alias("fine"),
-        F.when(none, F.array().cast("array<int>")).otherwise(subset_hashes(found, parts * 2)).alias("finer"),
+        F.when(none, F.array().cast("array<smallint>")).otherwise(subset_hashes(found, parts)).alias("fine"),
+        F.when(none, F.array().cast("array<smallint>")).otherwise(subset_hashes(found, parts * 2)).alias("finer"),
         F.when(none, everything).otherwise(F.lit(0)).cast("bigint").alias("whole"),
     )
 
 
 def as_text(mark: Column) -> Column:
     """The fingerprint as a string."""
-    part = lambda name: F.array_join(F.transform(mark[name], lambda x: F.lpad(F.hex(x), 8, "0")), "")
+    part = lambda name: F.array_join(F.transform(mark[name], lambda x: F.lpad(F.hex(x.cast("bigint")), 4, "0")), "")
     return F.concat_ws("-", F.hex(mark["parts"]), F.hex(mark["whole"]), part("fine"), part("finer"))
 
 
@@ -171,13 +170,8 @@ def fingerprints(
     band, n_terms = lexicon(texts, low_share, high_share)
     if n_terms <= broadcast_terms:
         band = F.broadcast(band)
-    known = texts.filter("doc_id is not null")
-    pairs = with_edits(known, next_ids(known))
-    lone = texts.filter("doc_id is null").select(
-        "doc_id", "text", F.col("doc_id").alias("next_id"), F.col("text").alias("edited")
-    )
-    marked = _marked(pairs, band).unionByName(_marked(lone, band))
-    marked, _ = keep(marked, "fingerprints")
+    marked = _both_marked(texts, band)
+    release(docs.sparkSession)
     follower = marked.filter("doc_id is not null").groupBy("doc_id").agg(F.min("mark").alias("next_mark"))
     joined = marked.join(follower.withColumnRenamed("doc_id", "next_id"), "next_id", "left")
     return joined.select(
@@ -188,6 +182,16 @@ def fingerprints(
     )
 
 
+def _both_marked(texts: DataFrame, band: DataFrame) -> DataFrame:
+    """All rows with both fingerprints, stored."""
+    known = texts.filter("doc_id is not null")
+    lone = texts.filter("doc_id is null").select(
+        "doc_id", "text", F.col("doc_id").alias("next_id"), F.col("text").alias("edited")
+    )
+    marked = _marked(with_edits(known, next_ids(known)), band).unionByName(_marked(lone, band))
+    return keep(marked, "fingerprints")[0]
+
+
 def _marked(pairs: DataFrame, band: DataFrame) -> DataFrame:
     """Sizes, checksum and both fingerprints; rows stay where they are if ``band`` is broadcast."""
     rows = (
