@@ -30,11 +30,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.scale import bounded_rows
 from . import words as W
 from .quality import held_out
 
 PER_LANGUAGE = 400
 WINDOW = 250
+MOST_LANGUAGES = 1_000
 TABLE_BITS = 17
 SEGMENT = 64
 ROUNDS = 25
@@ -241,8 +243,12 @@ def training_sample(
     )
     sizes = open_rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n"))
     drawn = F.pmod(F.xxhash64(F.lit(5), "doc_id", F.length("text")), F.lit(1 << 40)) / float(1 << 40)
-    # the list of languages is the label set, small by nature
-    chosen = open_rows.join(sizes, "lang").filter(drawn < per_language / F.col("n"))
+    # the model has weights for each language, so their number is small, or this fails
+    shares = [(r["lang"], per_language / r["n"]) for r in bounded_rows(sizes, MOST_LANGUAGES, "languages")]
+    if not shares:
+        return [], []
+    share = F.create_map(*[F.lit(x) for pair in shares for x in pair])
+    chosen = open_rows.filter(drawn < F.element_at(share, F.col("lang")))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
