@@ -2,6 +2,10 @@
 
 Every stage is ``(spark, docs, sf_dir) -> DataFrame``; its result is written as Parquet and read again
 as the next stage's ``docs``. All but the last return the columns of ``documents``.
+
+Rows are known by a 64-bit hash of all their columns, so null ids and one id with several texts are told
+apart. Equal rows share that key and are one row with a count: the join keeps one of them, the mix
+returns as many as it takes of all of them.
 """
 
 from __future__ import annotations
@@ -22,11 +26,35 @@ def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
     return quality.accepted(docs, table(spark, sf_dir, "labels")).select(*COLUMNS)
 
 
+def keyed(docs: DataFrame) -> DataFrame:
+    """``docs`` with the key of the row; whether a column is null counts too."""
+    return docs.withColumn("key", F.xxhash64(*COLUMNS, *[F.col(c).isNull() for c in COLUMNS]))
+
+
+def one_of_each(docs: DataFrame, keys: DataFrame) -> DataFrame:
+    """A row for each of ``keys``; the rows of a key are equal."""
+    row = F.struct(*COLUMNS)
+    found = docs.join(keys, "key", "left_semi").groupBy("key").agg(F.min(row).alias("row"))
+    return found.select("key", "row.*")
+
+
 def jaccard_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest id of each group of near duplicates."""
-    groups = similarity.similar_groups(docs)
-    rest = groups.filter("doc_id <> component_id").select("doc_id")
-    return docs.join(rest, "doc_id", "left_anti").select(*COLUMNS)
+    """The row with the smallest id, null last, of each group of near duplicates."""
+    docs = keyed(docs)
+    groups = similarity.similar_groups(docs, "key").select(F.col("doc_id").alias("key"), "component_id")
+    rows = groups.groupBy("key").agg(F.min("component_id").alias("component_id"), F.count(F.lit(1)).alias("n"))
+    ids = docs.groupBy("key").agg(F.min("doc_id").alias("doc_id"))
+    order = F.struct(F.col("doc_id").isNull(), "doc_id", "key")
+    named, _ = keep(rows.join(ids, "key"), "rows")
+    firsts, _ = keep(named.groupBy("component_id").agg(F.min_by("key", order).alias("key")), "firsts")
+    # rows alone of their kind stay in place; of equal rows one is taken
+    rest, _ = keep(
+        named.filter("n > 1").select("key").union(named.filter("n = 1").select("key").join(firsts, "key", "left_anti")),
+        "rest",
+    )
+    several, _ = keep(named.filter("n > 1").select("key").join(firsts, "key", "left_semi"), "several")
+    alone = docs.join(rest, "key", "left_anti").select(*COLUMNS)
+    return alone.union(one_of_each(docs, several).select(*COLUMNS))
 
 
 def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -36,10 +64,16 @@ def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str)
 
 def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every document as often as the mix takes it: a row for each epoch, all under its id."""
-    taken = mixing.mix(docs, (5.0, 2.0, 1.0)).select("doc_id", "epochs").filter("epochs > 0")
-    taken, _ = keep(taken, "taken")
+    docs = keyed(docs)
+    taken = mixing.mix(docs, (5.0, 2.0, 1.0), doc_id="key").groupBy(F.col("doc_id").alias("key")).agg(
+        F.sum("epochs").alias("epochs"), F.count(F.lit(1)).alias("n")
+    )
+    taken, _ = keep(taken.filter("epochs > 0"), "taken")
+    several, _ = keep(taken.filter("n > 1"), "several")
     epoch = F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("epochs")))
-    return docs.join(taken, "doc_id").select(*COLUMNS, epoch).select(*COLUMNS)
+    alone = docs.join(taken.filter("n = 1"), "key")
+    equal = one_of_each(docs, several).join(several, "key")
+    return alone.select(*COLUMNS, epoch).union(equal.select(*COLUMNS, epoch)).select(*COLUMNS)
 
 
 def binary_records(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -46,3 +46,26 @@ def test_stages(spark, tmp_path):
     want = [len(code.encode(r.text, add_special_tokens=False).ids) + 1 for r in rows[4]]
     assert sorted(want) == sorted(r.n_tokens for r in rows[5])
     assert sum(want) == max(r.start + r.n_tokens for r in rows[5])
+
+
+def test_null_ids_and_repeated_rows(spark):
+    kind = "doc_id bigint, text string, lang string, source string, n_chars bigint"
+    text = lambda k: " ".join(f"w{k}x{j}" for j in range(40))
+    row = lambda i, k, source="a": (i, text(k), "en", source, len(text(k)))
+    rows = [row(1, 1), row(1, 1), row(1, 1), row(2, 1), row(None, 1), row(None, 1), row(3, 1), row(3, 2), row(None, 3), row(None, 4), row(None, 4)]
+    joined = corpus_pipeline.jaccard_join(spark, spark.createDataFrame(rows, kind), SF)
+    got = sorted(map(tuple, joined.collect()), key=repr)
+    assert got == sorted([row(1, 1), row(3, 2), row(None, 3), row(None, 4)], key=repr)
+    rows += [row(5, 5, None), row(5, 6, None), (6, text(7), None, "a", 3), (6, text(7), "a", None, 3)]
+    # one source only per null: every row is taken once or more, never n x n times
+    docs = spark.createDataFrame(rows, kind)
+    want = {}
+    for r in corpus_pipeline.mixing.mix(corpus_pipeline.keyed(docs), (5.0, 2.0, 1.0), doc_id="key").collect():
+        want[r.doc_id] = want.get(r.doc_id, 0) + r.epochs
+    mixed = corpus_pipeline.source_mix(spark, docs, SF)
+    times = {}
+    for r in corpus_pipeline.keyed(mixed).collect():
+        times[r.key] = times.get(r.key, 0) + 1
+    assert times == {k: n for k, n in want.items() if n}
+    assert any(r.doc_id is None for r in mixed.collect())
+    assert abs(mixed.count() - len(rows)) <= 2
