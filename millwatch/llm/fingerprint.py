@@ -10,8 +10,9 @@ hash of the document's distinct terms in it, sorted. The subsets are disjoint sh
 of all terms, with B growing with the document's vocabulary in powers of two, so that a
 subset meets about one term of the document whatever its length: a change
 of some terms then changes some hashes and not all. The hashes for B and for 2 B are both kept, so that documents on either side of a step
-compare. Likeness is the share of equal hashes among the subsets that either document has terms in. A document
-without terms in the band has the hash of all its terms instead, and is like equal ones only.
+compare. One more hash is over all the document's terms in the band, in a subset or not, so any change of a kept
+term shows in the fingerprint. Likeness is the share of equal hashes among this one and those of the subsets that
+either document has terms in. A document without terms in the band has the hash of all its terms instead, and is like equal ones only.
 
 The edited text's words come from the next document by id. Ids alone are sorted to
 find it; of a text only the needed head goes to its neighbour, and one exchange by id brings both together.
@@ -60,9 +61,9 @@ def _scattered(term: Column) -> Column:
     return F.shiftrightunsigned(F.xxhash64(F.lit(23), term), 1)
 
 
-def candidates(found: Column, parts: Column) -> Column:
-    """The terms that any of the document's subsets could hold."""
-    return F.filter(found, lambda t: _scattered(t) % parts < SUBSETS)
+def sampled(term: Column, parts: Column) -> Column:
+    """Whether one of the document's subsets, for B or 2 B, could hold the term."""
+    return _scattered(term) % parts < SUBSETS
 
 
 def subset_hashes(found: Column, parts: Column) -> Column:
@@ -79,14 +80,14 @@ def subset_hashes(found: Column, parts: Column) -> Column:
     return F.transform(F.sequence(F.lit(0), F.lit(SUBSETS - 1)), one)
 
 
-def print_of(found: Column, parts: Column, everything: Column) -> Column:
-    """The fingerprint as a struct: B, hashes for B, hashes for 2 B, hash of all terms if they are none."""
-    none = F.size(found) == 0
+def print_of(found: Column, parts: Column, kept: Column, everything: Column) -> Column:
+    """The fingerprint as a struct: B, hashes for B, hashes for 2 B, hash of all terms in the band or, if they are none, of all terms."""
+    none = kept.isNull()
     return F.struct(
         F.when(none, F.lit(0)).otherwise(parts).cast("bigint").alias("parts"),
         F.when(none, F.array().cast("array<smallint>")).otherwise(subset_hashes(found, parts)).alias("fine"),
         F.when(none, F.array().cast("array<smallint>")).otherwise(subset_hashes(found, parts * 2)).alias("finer"),
-        F.when(none, everything).otherwise(F.lit(0)).cast("bigint").alias("whole"),
+        F.when(none, everything).otherwise(kept).cast("bigint").alias("whole"),
     )
 
 
@@ -97,13 +98,14 @@ def as_text(mark: Column) -> Column:
 
 
 def likeness(a: Column, b: Column) -> Column:
-    """Share of equal subset hashes, 0 to 1."""
+    """Share of equal hashes, 0 to 1; 1 only if all terms in the band are the same."""
+    whole = (a["whole"] == b["whole"]).cast("int")
 
     def share(x: Column, y: Column) -> Column:
         pairs = F.zip_with(x, y, lambda p, q: F.when((p == 0) & (q == 0), F.lit(2)).otherwise((p == q).cast("int")))
         same = F.size(F.filter(pairs, lambda v: v == 1))
         some = F.size(F.filter(pairs, lambda v: v < 2))
-        return F.when(some == 0, F.lit(0.0)).otherwise(same / some)
+        return (same + whole) / (some + 1)
 
     return (
         F.when((a["parts"] == 0) | (b["parts"] == 0), (a == b).cast("double"))
@@ -208,23 +210,35 @@ def _marked(pairs: DataFrame, band: DataFrame) -> DataFrame:
         .withColumn("everything", F.xxhash64(F.sort_array("found")))
         .withColumn("edited_everything", F.xxhash64(F.sort_array("edited_found")))
     )
-    own = F.transform(candidates(F.col("found"), F.col("parts")), lambda t: F.struct(t.alias("term"), F.lit(0).alias("of")))
-    new = F.transform(candidates(F.col("edited_found"), F.col("edited_parts")), lambda t: F.struct(t.alias("term"), F.lit(1).alias("of")))
+    # terms of the text alone, of the edited text alone, and of both: each is looked up once
+    tag = lambda of, found: F.transform(found, lambda t: F.struct(t.alias("term"), F.lit(of).alias("of")))
+    looked_up = F.concat(
+        tag(1, F.array_except("found", "edited_found")),
+        tag(2, F.array_except("edited_found", "found")),
+        tag(3, F.array_intersect("found", "edited_found")),
+    )
     carried = [
         "next_id", "n_chars", "edited_sha256", "parts", "edited_parts", "everything", "edited_everything",
     ]
     hits = (
-        rows.select("doc_id", "row", *carried, F.explode_outer(F.concat(own, new)).alias("x"))
+        rows.select("doc_id", "row", *carried, F.explode_outer(looked_up).alias("x"))
         .select("doc_id", "row", *carried, "x.term", "x.of")
         .join(band.withColumn("known", F.lit(True)), "term", "left")
     )
-    of = lambda n: F.collect_list(F.when(F.col("known") & (F.col("of") == n), F.col("term")))
+    of = lambda n: F.col("known") & (F.col("of").bitwiseAND(n) != 0)
+    found = lambda n, parts: F.collect_list(F.when(of(n) & sampled(F.col("term"), F.col(parts)), F.col("term")))
+    # a set's hash that is combined before the exchange, whatever the number of terms
+    kept = lambda n: F.bit_xor(F.when(of(n), F.xxhash64(F.lit(31), F.col("term"))))
     return (
         hits.groupBy("doc_id", "row")
-        .agg(*[F.first(c).alias(c) for c in carried], of(0).alias("found"), of(1).alias("edited_found"))
+        .agg(
+            *[F.first(c).alias(c) for c in carried],
+            found(1, "parts").alias("found"), found(2, "edited_parts").alias("edited_found"),
+            kept(1).alias("kept"), kept(2).alias("edited_kept"),
+        )
         .select(
             "doc_id", "next_id", "n_chars", "edited_sha256",
-            print_of(F.col("found"), F.col("parts"), F.col("everything")).alias("mark"),
-            print_of(F.col("edited_found"), F.col("edited_parts"), F.col("edited_everything")).alias("edited_mark"),
+            print_of(F.col("found"), F.col("parts"), F.col("kept"), F.col("everything")).alias("mark"),
+            print_of(F.col("edited_found"), F.col("edited_parts"), F.col("edited_kept"), F.col("edited_everything")).alias("edited_mark"),
         )
     )

@@ -69,3 +69,17 @@ def test_only_document_follows_itself(spark):
     row = fingerprint.fingerprints(one).first()
     assert row.edited_sha256 == hashlib.sha256(b"abcdefab").hexdigest()
     assert row.near_next == 1.0
+
+
+def test_any_kept_term_shows_in_a_long_text(spark):
+    words = [f"t{i}" for i in range(3000)]
+    rows = [(0, " ".join(words)), (1, " ".join(words[:-1]))]
+    # all words but the last, which stands in the lexicon as well, are common to both texts
+    rows += [(2, "t2999 alone"), (3, "t2998 t2999")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    got = {r.doc_id: r for r in fingerprint.fingerprints(docs, high_share=1.0).collect()}
+    assert got[0].fingerprint != got[1].fingerprint
+    assert 0.5 < got[0].near_next < 1.0
+    many = [(i, " ".join(words[:i] + words[i + 1 :])) for i in range(10, 30)]
+    docs = spark.createDataFrame(many, "doc_id bigint, text string")
+    assert len({r.fingerprint for r in fingerprint.fingerprints(docs, high_share=1.0).collect()}) == 20
