@@ -6,7 +6,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
-from . import decontaminate, fingerprint, language, mixing, quality, records, similarity
+from . import (
+    decontaminate, fingerprint, language, mixing, packing, quality, records, similarity, spelling,
+)
 from .catalog import query, table
 from .store import keep
 
@@ -114,3 +116,51 @@ def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op1_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprints of every document and of its edited text."""
     return fingerprint.fingerprints(table(spark, sf_dir, "documents"))
+
+
+_VARIANTS_SQL = """
+WITH RECURSIVE runs AS (
+  SELECT doc_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                           '[A-Za-zÀ-ÿ]+')) AS run FROM documents),
+counted AS (SELECT doc_id, run, count(*) AS n FROM runs WHERE length(run) >= 5 GROUP BY ALL),
+sums AS (
+  SELECT run, n, length(run) AS size, 4294967295 - list_reduce(
+           list_prepend(4294967295, flatten(list_transform(string_split(coalesce(CAST(doc_id AS VARCHAR), '') || ':' || run, ''),
+             lambda c: CASE WHEN unicode(c) < 128 THEN [CAST(unicode(c) AS BIGINT)]
+                            ELSE [CAST(195 AS BIGINT), CAST(unicode(c) - 64 AS BIGINT)] END))),
+           lambda crc, byte: list_reduce(list_prepend(xor(crc, byte), [0, 0, 0, 0, 0, 0, 0, 0]),
+             lambda x, _: xor(x >> 1, CASE WHEN x & 1 = 1 THEN 3988292384 ELSE 0 END))) AS h
+  FROM counted),
+words AS MATERIALIZED (
+  SELECT CASE WHEN h % 97 = 0 THEN substring(run, 1, h % size) || substring(run, h % size + 2) ELSE run END AS word,
+         CAST(sum(n) AS BIGINT) AS n
+  FROM sums GROUP BY ALL HAVING length(word) >= 5 AND sum(n) >= 3),
+holes AS MATERIALIZED (
+  SELECT DISTINCT word, n, length(word) AS size, k, substring(word, 1, k) || substring(word, k + 2) AS rest
+  FROM words, unnest(range(0, length(word))) t(k)),
+pairs AS (
+  SELECT a.word, b.word AS other, b.n AS m FROM holes a JOIN holes b USING (size, k, rest) WHERE a.word <> b.word
+  UNION SELECT h.word, w.word, w.n FROM holes h JOIN words w ON w.word = h.rest
+  UNION SELECT w.word, h.word, h.n FROM holes h JOIN words w ON w.word = h.rest),
+near AS (
+  SELECT word, count(*) AS n_near, first(other ORDER BY m DESC, other) AS best, max(m) AS best_n FROM pairs GROUP BY word),
+forms AS MATERIALIZED (
+  SELECT w.word, w.n, coalesce(n_near, 0) AS n_near, CASE WHEN best_n >= 2 * w.n THEN best END AS form,
+         CASE WHEN best_n >= 2 * w.n THEN best_n END AS form_n
+  FROM words w LEFT JOIN near USING (word)),
+follow AS (
+  SELECT word, word AS root, form AS next FROM forms
+  UNION ALL SELECT f.word, f.next, forms.form FROM follow f JOIN forms ON forms.word = f.next)
+SELECT word, form, root, n, n_near, form_n FROM forms JOIN follow USING (word) WHERE next IS NULL"""
+
+
+@query(_VARIANTS_SQL)
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Frequent words with the words one edit away, and the form each is a variant of."""
+    return spelling.variants(spelling.vocabulary(table(spark, sf_dir, "documents")))
+
+
+@query()
+def op13_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every piece of every document with its place in a sequence of at most 4,096 tokens."""
+    return packing.packed(table(spark, sf_dir, "documents"), tokenizer_path())
