@@ -134,7 +134,7 @@ sums AS (
 words AS MATERIALIZED (
   SELECT CASE WHEN h % 97 = 0 THEN substring(run, 1, h % size) || substring(run, h % size + 2) ELSE run END AS word,
          CAST(sum(n) AS BIGINT) AS n
-  FROM sums GROUP BY ALL HAVING length(word) >= 5 AND sum(n) >= 3),
+  FROM sums GROUP BY 1 HAVING length(word) >= 5 AND sum(n) >= 3),
 holes AS MATERIALIZED (
   SELECT DISTINCT word, n, length(word) AS size, k, substring(word, 1, k) || substring(word, k + 2) AS rest
   FROM words, unnest(range(0, length(word))) t(k)),

@@ -73,9 +73,9 @@ def shared_rows(seed, n, longest, letters):
 
 @pytest.mark.parametrize(("block", "fan", "chunk"), [(4096, 32, 20_000), (2, 2, 3), (1, 3, 1), (3, 2, 7)])
 def test_against_brute_force(spark, monkeypatch, block, fan, chunk):
-    rows = shared_rows(block, 120, 7, 0.3)
-    rows += [(1000 + i, t, "user", "same") for i in range(60) for t in range(5)]  # one group of copies
-    rows += [(2000, t, "user", "same") for t in range(40)]  # one long conversation
+    rows = shared_rows(block, 70, 7, 0.3)
+    rows += [(1000 + i, t, "user", "same") for i in range(25) for t in range(5)]  # one group of copies
+    rows += [(2000, t, "user", "same") for t in range(11)]  # one long conversation
     rng = random.Random(1)
     rng.shuffle(rows)
     spread = frame(spark, rows).repartition(9)
