@@ -29,16 +29,18 @@ DELAY_MINUTES = 10
 _MICROS = "epoch_us(\"timestamp\")"
 
 
-def in_parts(df: DataFrame, write: Callable[[DataFrame], None], run: Callable[[], None]) -> None:
+def in_parts(
+    df: DataFrame, write: Callable[[DataFrame], None], run: Callable[[], None], parts: int = PARTS
+) -> None:
     """Writes all rows in time order, part by part, and runs the stream after each part.
 
     The bounds come from the data; rows without a time belong to the first part.
     """
     micros = F.unix_micros(F.col("timestamp").cast("timestamp"))
     low, high = df.agg(F.min(micros), F.max(micros)).first()
-    width = ((high or 0) - (low or 0)) // PARTS + 1
+    width = ((high or 0) - (low or 0)) // parts + 1
     of = F.coalesce(F.floor((micros - F.lit(low or 0)) / F.lit(width)), F.lit(0))
-    for part in range(PARTS):
+    for part in range(parts):
         write(df.filter(of == part))
         run()
 
@@ -112,6 +114,46 @@ def stream_any_order(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+MANY = 12
+
+
+@query(
+    f"""WITH {EPISODES_SQL}
+SELECT machine_id, start_time, end_time, is_active, n_readings FROM failures"""
+)
+def stream_repaired_episodes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Episodes of messages that arrive in no order, repaired by every late one."""
+    root = scratch_path(spark, "repaired")
+    rows = views.readings(spark, sf_dir)
+    for part in range(PARTS):
+        mixed = rows.filter(F.pmod(F.xxhash64("reading_id"), F.lit(PARTS)) == part)
+        messages.encode(mixed).select("value").write.mode("append").text(f"{root}/inbox")
+        raw = messages.file_stream(spark, f"{root}/inbox")
+        ingest.start_ingest(raw, root, f"{root}/checkpoint").awaitTermination()
+    found = ingest.current_failures(spark, root)
+    return found.select("machine_id", ntz("start_time"), ntz("end_time"), "is_active", "n_readings")
+
+
+@query(
+    f"""WITH {EPISODES_SQL}
+SELECT machine_id, start_time, end_time, is_active, n_readings FROM failures"""
+)
+def stream_compaction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Episodes of twelve micro-batches in time order, compacted after every fourth."""
+    root = scratch_path(spark, "compacted")
+
+    def send(part: DataFrame) -> None:
+        messages.encode(part).select("value").write.mode("append").text(f"{root}/inbox")
+
+    def run() -> None:
+        raw = messages.file_stream(spark, f"{root}/inbox")
+        ingest.start_ingest(raw, root, f"{root}/checkpoint", compact_every=4).awaitTermination()
+
+    in_parts(views.readings(spark, sf_dir), send, run, MANY)
+    found = ingest.current_failures(spark, root)
+    return found.select("machine_id", ntz("start_time"), ntz("end_time"), "is_active", "n_readings")
+
+
 def scored_stream(spark: SparkSession, sf_dir: str) -> str:
     """Linked readings arriving in parts, scored by a published model."""
     root = scratch_path(spark, "scoring")

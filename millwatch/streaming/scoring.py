@@ -98,7 +98,9 @@ def update_drift(
     models are forgotten, so that each model gets its own numbering and reference.
     """
     spark = predictions.sparkSession
-    state = tables.read(spark, tables.slot(f"{root}/drift_state", batch_id - 1), DISTRIBUTIONS)
+    state = spark.createDataFrame([], DISTRIBUTIONS)
+    if batch_id > 0:  # a lost state is an error, not a new reference
+        state = spark.read.schema(DISTRIBUTIONS).parquet(tables.slot(f"{root}/drift_state", batch_id - 1))
     if only_run is not None:
         state = state.filter(F.col("run_id") == only_run)
     last, width = state.agg(F.max("batch_no"), F.max(F.size("freqs"))).first()

@@ -60,10 +60,12 @@ def test_late_messages_are_stored_and_broken_ones_kept_aside(make_readings, tmp_
     assert [r["reason"] for r in kept.collect()] == ["not_json"]
     found = ingest.current_readings(spark, root)
     late = {r["timestamp"]: r["failure_start"] for r in found.filter("late").collect()}
-    assert late == {at(15): at(10), at(5): None, at(12): None}
+    assert late == {at(15): at(15), at(5): at(5), at(12): None}
+    assert {r["failure_start"] for r in found.filter(F.col("timestamp") == at(20)).collect()} == {at(15)}
     assert found.count() == 7 and found.select("reading_id").distinct().count() == 7
-    rows = ingest.current_failures(spark, root).collect()
-    assert [(r["start_time"], r["end_time"], r["n_readings"]) for r in rows] == [(at(10), at(30), 3)]
+    rows = ingest.current_failures(spark, root).orderBy("start_time").collect()
+    ended = [(r["start_time"], r["end_time"], r["n_readings"]) for r in rows]
+    assert ended == [(at(5), at(12), 2), (at(15), at(30), 2)]
     seen = {r["machine_id"]: r["first_seen"] for r in ingest.current_machines(spark, root, 1).collect()}
     assert seen == {"a": at(5), "b": at(1)}
 
