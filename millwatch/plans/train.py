@@ -17,6 +17,7 @@ from ..operators.episodes import in_lookback
 from ..operators.features import episode_stats, episode_vectors, stats_sensors
 from ..schemas import CLUSTERS, MODEL_CENTROIDS, MODEL_SCALER, PICKUPS, RUNS, VERSIONS
 from ..sources import tables
+from ..sources.commits import Commits, Taken
 
 
 EXACT_METRIC, FAST_METRIC = "euclidean", "squared_euclidean"
@@ -124,16 +125,17 @@ def publish(spark: SparkSession, root: str, done: Training, created_at: Column)
     """Appends the model to the registry below ``root`` and signals the new version.
 
     The model tables come first and the signal last, so whoever sees the signal finds the model.
-    Readers derive which row is active (:func:`registry.switch_model`).
+    Readers derive which row is active (:func:`registry.switch_model`). Several writers may publish at once:
+    each claims an id of its own with a commit file, and the highest one is active.
     """
     model = done.model
+    number = claim_id(spark, root, model.run_id)
     centroids, scaler = cl.model_tables(spark, model)
     tables.append(centroids, f"{root}/model_centroids", MODEL_CENTROIDS)
     tables.append(scaler, f"{root}/model_scaler", MODEL_SCALER)
     tables.append(done.run, f"{root}/runs", RUNS)
-    clusters = tables.read(spark, f"{root}/clusters", CLUSTERS)
     row = profile_map(done.profiles).select(
-        F.lit(registry.next_id(clusters)).alias("id"),
+        F.lit(number).cast("bigint").alias("id"),
         F.lit(model.run_id).alias("run_id"),
         F.lit(model.version).cast("int").alias("model_version"),
         created_at.alias("created_at"),
@@ -143,9 +145,8 @@ def publish(spark: SparkSession, root: str, done: Training, created_at: Column)
         "cluster_profiles",
     )
     tables.append(row, f"{root}/clusters", CLUSTERS)
-    versions = current_versions(spark, root)
     signal = spark.range(1).select(
-        F.lit(registry.next_id(versions)).alias("id"),
+        F.lit(number).cast("bigint").alias("id"),
         F.lit(model.version).alias("version"),
         F.lit(model.run_id).alias("run_id"),
         created_at.alias("created_at"),
@@ -154,6 +155,20 @@ def publish(spark: SparkSession, root: str, done: Training, created_at: Column)
     tables.append(signal, f"{root}/versions", VERSIONS)
 
 
+def claim_id(spark: SparkSession, root: str, run_id: str) -> int:
+    """An id above all that the registry knows, taken by one writer only; a lost race tries the next."""
+    commits = Commits(spark, f"{root}/registry")
+    number = commits.next_free()
+    if not number:  # a registry older than its commits
+        number = registry.next_id(tables.read(spark, f"{root}/clusters", CLUSTERS)) - 1
+    while True:
+        try:
+            commits.create(number, {"run_id": run_id})
+            return number + 1
+        except Taken:
+            number = max(number + 1, commits.next_free())
+
+
 def load_active(spark: SparkSession, root: str) -> cl.Model | None:
     """The active model of the registry below ``root``."""
     clusters = registry.switch_model(tables.read(spark, f"{root}/clusters", CLUSTERS))

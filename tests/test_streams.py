@@ -173,6 +173,27 @@ def test_version_signals_are_picked_up_once(spark, make_readings, tmp_path):
     assert [r["id"] for r in tr.current_versions(spark, root).filter("not is_processed").collect()] == [3]
 
 
+def test_two_publishers_get_ids_of_their_own(spark, make_readings, tmp_path, monkeypatch):
+    root = str(tmp_path)
+    rows = [(f"m{i}", t, 1 - t, {"Sensor 1": float(i)}) for i in range(4) for t in (0, 1)]
+    done = tr.train(ep.link_episodes(make_readings(rows)), F.lit(at(60)), run_id="r1", k=2)
+    real, raced = tr.Commits.create, []
+
+    def late(self, number, content):
+        if not raced:  # another publisher is faster, from claim to signal
+            raced.append(number)
+            tr.publish(spark, root, done, F.lit(at(1)))
+        real(self, number, content)
+
+    monkeypatch.setattr(tr.Commits, "create", late)
+    tr.publish(spark, root, done, F.lit(at(2)))
+    clusters = tables.read(spark, root + "/clusters", tr.CLUSTERS)
+    assert sorted(r["id"] for r in clusters.collect()) == [1, 2] and raced == [0]
+    assert sorted(r["id"] for r in tr.current_versions(spark, root).collect()) == [1, 2]
+    active = tr.registry.switch_model(clusters).filter("is_active").collect()
+    assert [(r["id"], r["created_at"]) for r in active] == [(2, at(2))]
+
+
 def test_readings_scored_before_are_not_scored_again(make_readings, tmp_path):
     df = make_readings([("a", i, 0) for i in range(6)])
     root = str(tmp_path)
