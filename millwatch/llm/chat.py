@@ -99,7 +99,7 @@ def link(calls: DataFrame, results: DataFrame, tools: DataFrame) -> DataFrame:
     """One row per call or unclaimed result, in place in its conversation.
 
     ``calls``: conv_id, call_id, turn, name, arguments (JSON text), after. ``results``: conv_id,
-    call_id, turn, content. ``tools``: tool, name, type (as Spark names a variant's type), required.
+    call_id, turn, content, and, if wanted for those without an identifier, name. ``tools``: tool, name, type (as Spark names a variant's type), required.
     """
     asked = first_of(calls.filter("conv_id is not null and call_id is not null"), ["turn", "name", "arguments", "after"], "arguments")
     asked, _ = keep(asked, "calls")
@@ -111,8 +111,9 @@ def link(calls: DataFrame, results: DataFrame, tools: DataFrame) -> DataFrame:
         *KEY, "turn", "name", "arguments", "after", F.lit(0).cast("bigint").alias("n_more"), F.lit(1).cast("bigint").alias("depth"), F.lit(True).alias("asked")
     )
     stray = results.filter("conv_id is null or call_id is null").select(
-        *KEY, F.col("turn").alias("result_turn"), "content", F.lit(0).cast("bigint").alias("n_more_results"), F.lit(True).alias("given")
-    )
+        *KEY, F.col("turn").alias("result_turn"), "content", *(["name"] if "name" in results.columns else []),
+        F.lit(0).cast("bigint").alias("n_more_results"), F.lit(True).alias("given"),
+    )
     rows = joined.unionByName(nameless, True).unionByName(stray, True)
     of_tool = tools.groupBy(F.col("tool").alias("name")).agg(
         F.sort_array(F.collect_set(F.struct("name", "type", "required"))).alias("parameters")

@@ -9,7 +9,8 @@ from . import chat, trie
 from .catalog import query, table
 from .store import keep
 
-# A user's turn is a call of the tool "answer", the turn after it the call's result.
+# A user's turn is a call of the tool "answer", the turn after it the call's result. Turns of other roles are
+# neither: they are rows without a call, named after their role.
 TOOLS = (("answer", "prompt", "STRING", True), ("answer", "turn", "BIGINT", True))
 
 _SQL = """
@@ -37,12 +38,17 @@ SELECT conv_id, call_id, coalesce(turn, result_turn) AS turn, result_turn, depth
        || ',"errors":' || CASE WHEN bad THEN '["missing prompt"]' ELSE '[]' END
        || ',"name":' || CASE WHEN depth IS NULL THEN 'null' ELSE '"answer"' END
        || ',"status":"' || status || '"}' AS json
-FROM judged"""
+FROM judged
+UNION ALL
+SELECT conv_id, NULL, turn, turn, NULL, 'no_call', 0, 0,
+       '{"arguments":null,"call_id":null,"content":' || coalesce(CAST(to_json(text) AS VARCHAR), 'null')
+       || ',"errors":[],"name":' || coalesce(CAST(to_json(role) AS VARCHAR), 'null') || ',"status":"no_call"}'
+FROM conversations WHERE role IS NULL OR role NOT IN ('user', 'assistant')"""
 
 
 @query(_SQL)
 def op5_tool_calls(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """User turns as calls, assistant turns as their results."""
+    """User turns as calls, assistant turns as their results, all other turns as rows of their own."""
     turns = table(spark, sf_dir, "conversations")
     number = lambda back: F.concat(F.lit("call-"), (F.col("turn") - back).cast("string"))
     calls = turns.filter("role = 'user'").select(
@@ -51,10 +57,14 @@ def op5_tool_calls(spark: SparkSession, sf_dir: str) -> DataFrame:
         number(2).alias("after"),
     )
     results = turns.filter("role = 'assistant'").select(
-        "conv_id", number(1).alias("call_id"), "turn", F.col("text").alias("content")
+        "conv_id", number(1).alias("call_id"), "turn", F.col("text").alias("content"), F.lit(None).cast("string").alias("name")
+    )
+    neither = F.col("role").isNull() | ~F.col("role").isin("user", "assistant")
+    others = turns.filter(neither).select(
+        "conv_id", F.lit(None).cast("string").alias("call_id"), "turn", F.col("text").alias("content"), F.col("role").alias("name")
     )
     tools = spark.createDataFrame(TOOLS, "tool string, name string, type string, required boolean")
-    return chat.link(calls, results, tools)
+    return chat.link(calls, results.union(others), tools)
 
 
 FAMILY = 20
