@@ -1,4 +1,5 @@
 import hashlib
+import random
 
 import duckdb
 from pyspark.sql import functions as F
@@ -64,6 +65,50 @@ def test_odd_rows(spark, odd_docs, no_docs):
     assert sorted(map(repr, shuffled.collect())) == sorted(map(repr, rows))
 
 
+def test_fingerprint_by_its_definition(spark):
+    """Hashes of every random lexicon against sets made by hand, and likeness against the estimate from them."""
+    fresh = random.Random(5)
+    word_lists = [fresh.sample(range(4000), n) for n in (1, 2, 17, 90, 700, 3000)]
+    rows = [(i, " ".join(f"w{x}" for x in words)) for i, words in enumerate(word_lists)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    numbers = {
+        r.w: r.n
+        for r in spark.createDataFrame([(f"w{x}",) for x in range(4000)], "w string")
+        .select("w", fingerprint._number(F.xxhash64("w")).alias("n")).collect()
+    }
+    found = docs.select("doc_id", F.transform(fingerprint.terms(F.col("text")), fingerprint._number).alias("f"))
+    got = {r.doc_id: r.c for r in found.select("doc_id", fingerprint.lexicon_hashes(F.col("f")).alias("c")).collect()}
+    held = {}
+    for i, words in enumerate(word_lists):
+        own = [numbers[f"w{x}"] for x in words]
+        for k in range(fingerprint.LEVELS * fingerprint.LEXICONS):
+            level, place = divmod(k, fingerprint.LEXICONS)
+            width = 2**62 // fingerprint.LEXICONS // 2**level
+            members = tuple(sorted(n for n in own if width * place <= n < width * (place + 1)))
+            code = got[i][k] if k < len(got[i]) else 0
+            assert (code == 0) == (not members)
+            # one set has one hash
+            assert held.setdefault((k, members), code) == code
+        assert sum(1 for c in got[i][: fingerprint.LEXICONS] if c) <= len(own)
+
+
+def test_likeness_follows_replaced_terms_at_any_length(spark):
+    for size in (100, 300, 1000, 3000):
+        base = [f"b{i}" for i in range(size)]
+        shares = (0.02, 0.1, 0.25, 0.5, 1.0)
+        rows = [(0, base)]
+        rows += [(k, [f"n{k}x{i}" for i in range(int(size * s))] + base[int(size * s) :]) for k, s in enumerate(shares, 1)]
+        frame = spark.createDataFrame(rows, "id bigint, w array<string>").select(
+            "id", fingerprint.print_of(F.transform("w", lambda x: fingerprint._number(F.xxhash64(x))), F.lit(0).cast("bigint")).alias("m")
+        )
+        first = frame.filter("id = 0").select(F.col("m").alias("o"))
+        both = frame.join(F.broadcast(first)).orderBy("id")
+        near = [r[0] for r in both.select(fingerprint.likeness(F.col("m"), F.col("o"))).collect()]
+        assert near[0] == 1.0 and near == sorted(near, reverse=True)
+        for s, got in zip(shares, near[1:], strict=True):
+            assert abs(got - (1 - s) / (1 + s)) < 0.2
+
+
 def test_only_document_follows_itself(spark):
     one = spark.createDataFrame([(7, "abcdefgh")], "doc_id bigint, text string")
     row = fingerprint.fingerprints(one).first()
