@@ -233,8 +233,10 @@ def _both_marked(texts: DataFrame, band: DataFrame) -> DataFrame:
     lone = texts.filter("doc_id is null").select(
         "doc_id", "text", F.col("doc_id").alias("next_id"), F.col("text").alias("edited")
     )
-    marked = _marked(with_edits(known, next_ids(known)), band).unionByName(_marked(lone, band))
-    return keep(marked, "fingerprints")[0]
+    # stored apart: within one union the optimizer names the two uses of the text apart, and shuffles it twice
+    marked, _ = keep(_marked(with_edits(known, next_ids(known)), band), "fingerprints")
+    alone, _ = keep(_marked(lone, band), "lone_fingerprints")
+    return marked.unionByName(alone)
 
 
 def _marked(pairs: DataFrame, band: DataFrame) -> DataFrame:
