@@ -8,10 +8,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.episodes import link_episodes
-from ..schemas import DRIFT, PREDICTIONS
+from ..schemas import DRIFT, PREDICTIONS, READINGS
 from ..session import scratch_path
 from ..sources import messages, tables
-from ..streaming import ingest, rates, scoring
+from ..streaming import delivery, ingest, rates, scoring
 from . import driver_views as views
 from . import train as tr
 from .catalog import query
@@ -267,3 +267,48 @@ def stream_dedupe(spark: SparkSession, sf_dir: str) -> DataFrame:
     in_parts(views.readings(spark, sf_dir), send, run)
     found = spark.read.parquet(f"{root}/readings")
     return found.select("machine_id", ntz("timestamp"), "has_failure")
+
+
+@query(
+    f"""WITH ends AS (SELECT min(epoch_us(ts)) AS low, (max(epoch_us(ts)) - min(epoch_us(ts))) // {PARTS} + 1 AS width FROM events),
+sent AS (
+  SELECT 'm' || CAST(user_id AS VARCHAR) AS machine_id, ts, (epoch_us(ts) - low) // width AS part, count(*) AS c
+  FROM events, ends
+  GROUP BY user_id, ts, part, event_type = 'error', value, json_extract(props, '$.k')),
+latest AS (SELECT part, max(max(ts)) OVER (ORDER BY part) - INTERVAL {DELAY_MINUTES} MINUTE AS behind FROM sent GROUP BY part),
+counted AS (
+  SELECT machine_id, c, CASE WHEN part = {PARTS - 1} THEN 0 ELSE c END AS again, ts < behind AS is_late
+  FROM sent JOIN latest USING (part))
+SELECT machine_id, count(*) AS kept,
+       CAST(sum(2 * c - 1 + CASE WHEN is_late THEN 0 ELSE again END) AS BIGINT) AS repeats,
+       CAST(sum(CASE WHEN is_late THEN again ELSE 0 END) AS BIGINT) AS late
+FROM counted GROUP BY machine_id"""
+)
+def stream_delivery(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every message sent twice, and once more with the part after its own: kept, repeated and late rows."""
+    root = scratch_path(spark, "delivery")
+    before: list[DataFrame] = []
+
+    def send(part: DataFrame) -> None:
+        sent = messages.encode(part).select("value")
+        for rows in (sent, sent, *before):
+            rows.write.mode("append").text(f"{root}/inbox")
+        before[:] = [sent]
+
+    def step(batch: DataFrame, batch_id: int) -> None:
+        valid = messages.accepted(messages.decode(batch))
+        kept = delivery.keep_once(valid, batch_id, root, DELAY_MINUTES)
+        tables.write_batch(kept, f"{root}/readings", batch_id, READINGS, by_date="timestamp")
+
+    def run() -> None:
+        (
+            messages.file_stream(spark, f"{root}/inbox")
+            .writeStream.foreachBatch(step)
+            .option("checkpointLocation", f"{root}/checkpoint")
+            .trigger(availableNow=True)
+            .start()
+            .awaitTermination()
+        )
+
+    in_parts(views.readings(spark, sf_dir), send, run)
+    return delivery.totals(spark, root)

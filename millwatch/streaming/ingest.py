@@ -24,7 +24,7 @@ from ..operators.episodes import link_episodes
 from ..schemas import FAILURES, MACHINES, READINGS, struct
 from ..sources import messages, tables
 from ..sources.commits import Commits, Folder
-from . import repair
+from . import delivery, repair
 
 # Buckets of machines in which the state is written.
 BUCKETS = 32
@@ -57,11 +57,15 @@ def start_ingest(
     trigger: dict | None = None,
     rows_per_cell: int = ROWS_PER_CELL,
     compact_every: int = COMPACT_EVERY,
+    once: bool = False,
 ) -> StreamingQuery:
-    """Starts the ingest of a message stream into the tables below ``root``."""
+    """Starts the ingest of a message stream into the tables below ``root``.
+
+    With ``once`` messages delivered again are counted in the table ``delivered`` and not stored again.
+    """
 
     def step(batch: DataFrame, batch_id: int) -> None:
-        ingest_batch(batch, batch_id, root, rows_per_cell, compact_every)
+        ingest_batch(batch, batch_id, root, rows_per_cell, compact_every, once)
 
     return (
         raw.writeStream.foreachBatch(step)
@@ -77,6 +81,7 @@ def ingest_batch(
     root: str,
     rows_per_cell: int = ROWS_PER_CELL,
     compact_every: int = COMPACT_EVERY,
+    once: bool = False,
 ) -> None:
     """Decodes, links and stores one micro-batch; what cannot be decoded is kept with its reason.
 
@@ -91,7 +96,10 @@ def ingest_batch(
     decoded = messages.decode(batch).persist()
     try:
         tables.write_batch(messages.rejected(decoded), f"{root}/rejected", batch_id, REJECTED)
-        numbered = messages.with_reading_id(messages.accepted(decoded), batch_id)
+        valid = messages.accepted(decoded)
+        if once:
+            valid = delivery.keep_once(valid, batch_id, root)
+        numbered = messages.with_reading_id(valid, batch_id)
         touched = sorted(r[0] for r in numbered.select(bucket_of("machine_id")).distinct().collect())
         state = read_state(spark, root, batch_id - 1, touched)
         known = state.select("machine_id", F.col("timestamp").alias("_last"))
