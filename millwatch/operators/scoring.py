@@ -2,13 +2,18 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+from datetime import datetime
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.fixed import MODEL_NAME, SCORING_BATCH_SIZE
 from ..functions.scale import ROWS_PER_CELL, with_global_rank
 from ..functions.sensors import single_reading_features
-from .clustering import Model, assign
+from .clustering import Model, assign, nearest, scaled
+
+MAX_HISTORY = 64
 
 
 def unscored(
@@ -81,6 +86,34 @@ def score(readings: DataFrame, model: Model) -> DataFrame:
     )
 
 
+def score_as_of(
+    readings: DataFrame, history: Sequence[tuple[datetime, Model]], max_history: int = MAX_HISTORY
+) -> DataFrame:
+    """Adds ``cluster_id`` and ``model_version`` of the model that was active at each reading's time.
+
+    A model is active from its time, that instant included, to the time of the next; of two with one time the later
+    in ``history`` counts. Both columns are NULL before the first model, and with a NULL time; a reading
+    without a usable vector has a version and no cluster. One pass without join or shuffle, so no
+    time range is hot: models are constants of the plan, ``max_history`` of them at most, and each row computes only its own.
+    """
+    if len(history) > max_history:
+        raise ValueError(f"{len(history)} models in the history, {max_history} at most")
+    ordered = sorted(history, key=lambda entry: entry[0])
+    kept = readings.columns
+    version, cluster = F.lit(None).cast("string"), F.lit(None).cast("int")
+    rows = readings
+    for i, (start, model) in enumerate(ordered):
+        active = F.col("timestamp") >= F.lit(start)
+        if i + 1 < len(ordered):
+            active &= F.col("timestamp") < F.lit(ordered[i + 1][0])
+        rows = rows.withColumn(f"_x{i}", F.when(active, reading_vector(model.features)))
+        rows = rows.withColumn(f"_s{i}", scaled(f"_x{i}", model.mean, model.scale))
+        rows = rows.withColumn(f"_near{i}", nearest(f"_s{i}", model.centroids))
+        cluster = F.when(active, F.col(f"_near{i}.cluster_id")).otherwise(cluster)
+        version = F.when(active, F.lit(model.version)).otherwise(version)
+    return rows.select(*kept, cluster.alias("cluster_id"), version.alias("model_version"))
+
+
 def to_predictions(scored: DataFrame, model: Model, at: Column) -> DataFrame:
     """Prediction rows of one model, one per reading and thereby per reading and version."""
     return scored.dropDuplicates(["reading_id"]).select(

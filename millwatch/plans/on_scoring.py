@@ -8,12 +8,13 @@ from pyspark.sql import functions as F
 from ..operators import clustering as cl
 from ..operators import describe as ds
 from ..operators import scoring as sc
+from ..sources import tables
 from . import driver_views as views
 from .catalog import query
 from .driver_views import READINGS_SQL
-from .on_ingest import as_of, ntz
+from .on_ingest import as_of, episode_vectors, ntz
 from .on_models import episode_model
-from .sql_parts import FEATURES, MODEL_ROUNDS, MODEL_SQL, nearest_sql
+from .sql_parts import FEATURES, MODEL_K, MODEL_ROUNDS, MODEL_SQL, nearest_sql
 
 
 def past_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -127,6 +128,41 @@ def score_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored(spark, sf_dir).select("reading_id", "cluster_id")
 
 
+_VERSIONS_SQL = ",\n".join(nearest_sql(f"by{v}", "new_points", f"c{v}") for v in range(1, MODEL_ROUNDS + 1))
+_ALL_VERSIONS = " UNION ALL ".join(f"SELECT id, cluster_id, '{v}' AS model_version FROM by{v}" for v in range(1, MODEL_ROUNDS + 1))
+
+
+@query(
+    f"""WITH {SCORED_SQL},
+{_VERSIONS_SQL},
+every AS ({_ALL_VERSIONS}),
+span AS (SELECT min(epoch_us("timestamp")) AS low, (max(epoch_us("timestamp")) - min(epoch_us("timestamp"))) // {MODEL_ROUNDS + 1} AS width FROM readings),
+history AS (
+  SELECT make_timestamp(low + v * width) AS since, CAST(v AS VARCHAR) AS model_version
+  FROM span, range(1, {MODEL_ROUNDS + 1}) t(v)),
+placed AS (
+  SELECT r.reading_id, h.model_version FROM readings r ASOF LEFT JOIN history h ON r."timestamp" >= h.since
+  WHERE NOT r.has_failure)
+SELECT reading_id, model_version, CAST(cluster_id AS INT) AS cluster_id
+FROM placed LEFT JOIN (SELECT id AS reading_id, cluster_id, model_version FROM every) USING (reading_id, model_version)"""
+)
+def score_as_of(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every normal reading scored by the model active at its time; a version is one more round of the fit."""
+    vectors = tables.materialise(episode_vectors(spark, sf_dir), "as-of-vectors")
+    mean, scale = cl.fit_scaler(vectors)
+    points = cl.scale_vectors(vectors, mean, scale)
+    readings = views.readings(spark, sf_dir)
+    low, high = readings.agg(F.min("timestamp"), F.max("timestamp")).first()
+    centroids, history = cl.first_points(points, MODEL_K), []
+    for v in range(1, MODEL_ROUNDS + 1):
+        centroids = cl.lloyd(points, centroids, 1)
+        if low is not None:
+            model = cl.Model(FEATURES, mean, scale, centroids, version=str(v))
+            history.append((low + v * ((high - low) // (MODEL_ROUNDS + 1)), model))
+    found = sc.score_as_of(readings.filter(~F.col("has_failure")), history)
+    return found.select("reading_id", "model_version", "cluster_id")
+
+
 # As many features as the default setup has: 20 sensors with 4 statistics and the duration.
 WIDE = 81
 _WIDE_ENTRY = "value * ((event_id * (pos + 1)) % 7 + 1) + pos * (event_id % 5)"

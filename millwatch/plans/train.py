@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import dataclass, replace
+from datetime import datetime
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.fixed import LOOKBACK_HOURS, N_CLUSTERS
@@ -15,6 +16,7 @@ from ..operators import describe as ds
 from ..operators import registry
 from ..operators.episodes import in_lookback
 from ..operators.features import episode_stats, episode_vectors, stats_sensors
+from ..operators.scoring import MAX_HISTORY
 from ..schemas import CLUSTERS, MODEL_CENTROIDS, MODEL_SCALER, PICKUPS, RUNS, VERSIONS
 from ..sources import tables
 from ..sources.commits import Commits, Taken
@@ -183,6 +185,31 @@ def load_active(spark: SparkSession, root: str) -> cl.Model | None:
     )
 
 
+def load_history(
+    spark: SparkSession, root: str, limit: int = MAX_HISTORY
+) -> list[tuple[datetime, cl.Model]]:
+    """The models of the registry with the times from which they were active, the last ``limit`` of them.
+
+    A model that was published when one with a higher id was there already was never active.
+    """
+    clusters = tables.read(spark, f"{root}/clusters", CLUSTERS)
+    newest = F.max("id").over(Window.orderBy("created_at", "id"))
+    rows = (
+        clusters.select("id", "run_id", "model_version", "created_at")
+        .withColumn("_newest", newest)
+        .filter(F.col("id") == F.col("_newest"))
+        .orderBy(F.col("id").desc())
+        .limit(limit)
+        .collect()
+    )
+    centroids = tables.read(spark, f"{root}/model_centroids", MODEL_CENTROIDS)
+    scaler = tables.read(spark, f"{root}/model_scaler", MODEL_SCALER)
+    return [
+        (r["created_at"], cl.load_model(centroids, scaler, r["run_id"], str(r["model_version"])))
+        for r in reversed(rows)
+    ]
+
+
 def current_versions(spark: SparkSession, root: str) -> DataFrame:
     """The version signals, processed once they were picked up."""
     picked = tables.read(spark, f"{root}/pickups", PICKUPS).select("id").distinct()
