@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import logging
 import time
 
 from pyspark.sql import DataFrame
@@ -16,6 +17,8 @@ from ..plans.train import load_active, pick_up_versions
 from ..schemas import DISTRIBUTIONS, DRIFT, PREDICTIONS
 from ..sources import tables
 
+LOG = logging.getLogger(__name__)
+
 
 def start_scoring(
     readings: DataFrame,
@@ -27,19 +30,24 @@ def start_scoring(
     threshold: float = DRIFT_THRESHOLD,
     reset_on_model_change: bool = False,
     poll_seconds: float = 5.0,
+    wait_seconds: float | None = None,
 ) -> StreamingQuery:
     """Scores a stream of linked readings with the model active at each trigger.
 
     The usual trigger is ``{"processingTime": "30 seconds"}``. While the registry is empty the
-    first micro-batch waits, looking every ``poll_seconds``. The model is loaded again when a new
-    version has been signalled.
+    first micro-batch waits, looking every ``poll_seconds``, and fails after ``wait_seconds`` if that is set. The
+    model is loaded again when a new version has been signalled.
     """
     loaded: list[Model] = []
 
     def step(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         if pick_up_versions(spark, root) or not loaded:
+            began = time.monotonic()
             while (model := load_active(spark, root)) is None:
+                if wait_seconds is not None and time.monotonic() - began >= wait_seconds:
+                    raise TimeoutError(f"no active model below {root} after {wait_seconds} seconds")
+                LOG.warning("no active model below %s, looking again in %s seconds", root, poll_seconds)
                 time.sleep(poll_seconds)
             loaded[:] = [model]
         score_batch(

@@ -253,3 +253,15 @@ def test_an_empty_registry_is_waited_for(make_readings, tmp_path, monkeypatch):
     scoring.start_scoring(stream, root, root + "/checkpoint", poll_seconds=0.01).awaitTermination()
     assert tables.read_batches(spark, root + "/predictions", PREDICTIONS, by_date=True).count() == 3
     assert not models
+
+
+def test_waiting_for_a_model_ends(make_readings, tmp_path, monkeypatch):
+    df = make_readings([("a", 0, 0)])
+    spark, root = df.sparkSession, str(tmp_path)
+    df.withColumns({"closes": F.lit(None).cast("bigint"), "failure_id": F.lit(None).cast("bigint")}).write.parquet(root + "/in")
+    monkeypatch.setattr(scoring, "load_active", lambda *_: None)
+    monkeypatch.setattr(scoring, "pick_up_versions", lambda *_: False)
+    stream = spark.readStream.schema(spark.read.parquet(root + "/in").schema).parquet(root + "/in")
+    query = scoring.start_scoring(stream, root, root + "/checkpoint", poll_seconds=0.01, wait_seconds=0.05)
+    with pytest.raises(Exception, match="no active model"):
+        query.awaitTermination()
