@@ -3,6 +3,8 @@ from collections import Counter
 import duckdb
 from texts import no_docs, odd_docs, words  # noqa: F401
 
+from pyspark.sql import functions as F
+
 from millwatch.llm import mixing, on_documents
 
 SF = "/root/testdata/sf0.001"
@@ -80,3 +82,36 @@ def test_odd_rows(spark, odd_docs, no_docs):
     check(rows, docs, 30000)
     assert all(r.taken == 0 for r in rows if r.doc_id in (0, 1, 2))
     assert mixing.mix(no_docs).count() == 0
+
+
+def test_cuts_say_what_the_mix_takes(spark):
+    """Bounds per source and the few unsettled documents give the epochs of every id."""
+    docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text", "source")
+    docs = docs.union(docs.filter("doc_id % 3 = 0")).union(docs.filter("doc_id % 3 = 0"))
+    want = {}
+    for r in mixing.mix(docs, cell_rows=7).collect():
+        want[r.doc_id] = want.get(r.doc_id, 0) + r.epochs
+    bounds, unsettled = mixing.cuts(docs, cell_rows=50)
+    assert bounds.count() == docs.select("source").distinct().count()
+    got = {r.doc_id: r.epochs for r in unsettled.collect()}
+    assert len(got) <= 2 * bounds.count()
+    settled = mixing.with_epochs(docs.withColumn("cut", F.lit(1)), bounds)
+    assert settled.columns == ["doc_id", "text", "source", "cut", "epochs"]
+    edge = set(got)
+    for r in settled.collect():
+        if r.doc_id not in edge:
+            got[r.doc_id] = got.get(r.doc_id, 0) + r.epochs
+    assert got == want
+
+
+def test_cells_stay_small_and_in_order(spark):
+    """Under any weight a cell holds about as many rows as asked for, and cells follow the keys."""
+    for weight in (0.25, 1.0):
+        key = -F.log((F.pmod(F.xxhash64("id"), F.lit(1 << 53)) + 0.5) / float(1 << 53)) / weight
+        rows = spark.range(60_000).select(F.lit("a").alias("source"), key.alias("key"))
+        cells = mixing.with_cells(rows, 200).groupBy("cell").agg(
+            F.count(F.lit(1)).alias("n"), F.min("key").alias("low"), F.max("key").alias("high")
+        )
+        found = sorted(cells.collect())
+        assert max(r.n for r in found) < 400 and sum(r.n for r in found) == 60_000
+        assert all(a.high < b.low for a, b in zip(found, found[1:], strict=False))

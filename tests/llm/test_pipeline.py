@@ -1,6 +1,7 @@
 """The pipeline on a small table, each stage checked on its own input."""
 
 import zlib
+from collections import Counter
 
 import corpus_pipeline
 import numpy as np
@@ -8,8 +9,9 @@ from tokenizers import Tokenizer
 
 from millwatch.llm import on_documents
 from test_decontaminate import brute as leaks
-from test_mixing import check as check_mix
+from test_mixing import targets
 from test_similarity import brute as groups
+from texts import words
 
 SF = "/root/testdata/sf0.001"
 
@@ -35,13 +37,14 @@ def test_stages(spark, tmp_path):
     for r in rows[4]:
         times[r.doc_id] = times.get(r.doc_id, 0) + 1
     assert set(times) <= {r.doc_id for r in rows[3]}
-    sizes = {r.doc_id: r for r in rows[3]}
-    per_source = {}
-    for d, n in times.items():
-        r = sizes[d]
-        per_source[r.source] = per_source.get(r.source, 0) + n * len(r.text.split())
-    total = sum(len(r.text.split()) for r in rows[3])
-    assert abs(sum(per_source.values()) - total) < 0.05 * total and check_mix
+    size = Counter()
+    for r in rows[3]:
+        size[r.source] += len(words(r.text))
+    want, per_source = targets(size), Counter()
+    for r in rows[3]:
+        per_source[r.source] += times.get(r.doc_id, 0) * len(words(r.text))
+    near = max(len(words(r.text)) for r in rows[3]) / 2
+    assert all(abs(per_source[s] - t) <= near for s, t in want.items()) and max(times.values()) <= 3
     code = Tokenizer.from_file(on_documents.tokenizer_path())
     want = [len(code.encode(r.text, add_special_tokens=False).ids) + 1 for r in rows[4]]
     assert sorted(want) == sorted(r.n_tokens for r in rows[5])
@@ -69,3 +72,9 @@ def test_null_ids_and_repeated_rows(spark):
     assert times == {k: n for k, n in want.items() if n}
     assert any(r.doc_id is None for r in mixed.collect())
     assert abs(mixed.count() - len(rows)) <= 2
+
+
+def test_no_documents(spark):
+    docs = spark.createDataFrame([], spark.read.parquet(f"{SF}/documents.parquet").schema)
+    for name, stage in corpus_pipeline.STAGES:
+        assert stage(spark, docs, SF).count() == 0, name
