@@ -65,15 +65,16 @@ def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str)
 def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every document as often as the mix takes it: a row for each epoch, all under its id."""
     docs = keyed(docs)
-    taken = mixing.mix(docs, (5.0, 2.0, 1.0), doc_id="key").groupBy(F.col("doc_id").alias("key")).agg(
-        F.sum("epochs").alias("epochs"), F.count(F.lit(1)).alias("n")
-    )
-    taken, _ = keep(taken.filter("epochs > 0"), "taken")
-    several, _ = keep(taken.filter("n > 1"), "several")
+    bounds, unsettled = mixing.cuts(docs, (5.0, 2.0, 1.0), doc_id="key")
+    unsettled = unsettled.withColumnRenamed("doc_id", "key")
+    settled = mixing.with_epochs(docs, bounds, doc_id="key").join(unsettled.select("key"), "key", "left_anti")
+    rest = one_of_each(docs, unsettled).join(unsettled, "key")
     epoch = F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("epochs")))
-    alone = docs.join(taken.filter("n = 1"), "key")
-    equal = one_of_each(docs, several).join(several, "key")
-    return alone.select(*COLUMNS, epoch).union(equal.select(*COLUMNS, epoch)).select(*COLUMNS)
+    return (
+        settled.filter("epochs > 0").select(*COLUMNS, epoch)
+        .union(rest.filter("epochs > 0").select(*COLUMNS, epoch))
+        .select(*COLUMNS)
+    )
 
 
 def binary_records(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
