@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from ..operators.episodes import link_episodes
 from ..schemas import DRIFT, PREDICTIONS, READINGS
 from ..session import scratch_path
-from ..sources import messages, tables
+from ..sources import log, messages, tables
 from ..streaming import delivery, ingest, rates, scoring
 from . import driver_views as views
 from . import train as tr
@@ -114,6 +114,30 @@ def stream_any_order(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+LOG_PARTITIONS = 3
+
+
+@query(
+    f"""WITH {EPISODES_SQL}
+SELECT r.machine_id, r."timestamp", r.has_failure, m.start_time AS failure_start
+FROM readings r LEFT JOIN members m ON m.reading_id = r.reading_id"""
+)
+def stream_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Readings sent to a partitioned log in parts; their ids come from partition and offset."""
+    root = scratch_path(spark, "log")
+
+    def send(part: DataFrame) -> None:
+        log.append(messages.encode(part, "timestamp", "reading_id"), f"{root}/log", LOG_PARTITIONS)
+
+    def run() -> None:
+        raw = log.log_stream(spark, f"{root}/log")
+        ingest.start_ingest(raw, root, f"{root}/checkpoint").awaitTermination()
+
+    in_parts(views.readings(spark, sf_dir), send, run)
+    found = ingest.current_readings(spark, root)
+    return found.select("machine_id", ntz("timestamp"), "has_failure", ntz("failure_start"))
+
+
 MANY = 12
 
 

@@ -124,12 +124,12 @@ def with_reading_id(decoded: DataFrame, batch_id: int = 0) -> DataFrame:
     return ranked.withColumn("reading_id", F.col("rank") + first).drop("rank", "_hash")
 
 
-def encode(readings: DataFrame) -> DataFrame:
-    """Readings as message text in ``value``, keyed by machine for the topic sink."""
+def encode(readings: DataFrame, *also: str) -> DataFrame:
+    """Readings as message text in ``value``, keyed by machine for the topic sink; keeps the columns ``also``."""
     stamp = F.date_format("timestamp", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
     body = F.struct(F.col("values").alias("readings"), "has_failure")
     message = F.struct("machine_id", stamp.alias("timestamp"), body.alias("readings"))
-    return readings.select(F.col("machine_id").alias("key"), F.to_json(message).alias("value"))
+    return readings.select(F.col("machine_id").alias("key"), F.to_json(message).alias("value"), *also)
 
 
 def send_to_topic(messages: DataFrame, servers: str, topic: str) -> None:
