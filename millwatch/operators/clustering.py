@@ -20,12 +20,15 @@ from pyspark.sql import types as T
 from ..functions.fixed import KMEANS_SEED, N_CLUSTERS
 from ..functions.scale import bounded_rows
 from ..schemas import MODEL_CENTROIDS, MODEL_SCALER
+from ..sources.tables import materialise
 
 MAX_MODEL_ROWS = 1_000_000
-# Points per side of a silhouette cell, and pairs of them measured in one operation.
+# Points per block of the silhouette; more blocks than SILHOUETTE_BLOCKS only once a block is full.
 SILHOUETTE_BLOCK = 2_048
-PAIRS_AT_ONCE = 200_000
-MAX_SILHOUETTE_TASKS = 20_000
+SILHOUETTE_BLOCKS = 24
+MAX_SILHOUETTE_BLOCK = 131_072
+# Rows and columns of the tiles in which a cell's distances are computed.
+TILE = (256, 1_024)
 
 
 @dataclass(frozen=True)
@@ -163,46 +166,76 @@ def cluster_sizes(assigned: DataFrame, k: int) -> DataFrame:
     )
 
 
-def silhouette_samples(points: DataFrame, block_rows: int = SILHOUETTE_BLOCK) -> DataFrame:
-    """Exact Euclidean silhouette per point of ``(failure_id, cluster_id, features)``.
+def silhouette_blocks(n: int, block_rows: int = SILHOUETTE_BLOCK) -> int:
+    """Blocks of n points: no more than ``SILHOUETTE_BLOCKS`` until they hold ``MAX_SILHOUETTE_BLOCK`` points each."""
+    return max(1, min(-(-n // block_rows), SILHOUETTE_BLOCKS), -(-n // MAX_SILHOUETTE_BLOCK))
+
+
+def _point_silhouettes(points: DataFrame, block_rows: int) -> DataFrame:
+    """The Euclidean silhouette of every distinct point ``(cluster_id, features)``, with the number of its copies.
 
-    Every point must meet every other, so the work is quadratic; the data moved is not. Points
-    are hashed into blocks, a task compares two blocks and returns only its distance sums per
-    point and cluster.
+    Every point must meet every other, so the work is quadratic; the data moved is not. Equal points of a
+    cluster are one with a weight. Points are hashed into blocks, a task compares two blocks, each pair
+    once, and returns its distance sums per point and cluster. A point is sent to as many tasks as there are
+    blocks: up to ``SILHOUETTE_BLOCKS`` of them, which grow with the data to ``MAX_SILHOUETTE_BLOCK`` rows.
     """
-    n_blocks = max(1, -(-points.count() // block_rows))
-    n_cells = n_blocks * (n_blocks + 1) // 2
-    block = F.pmod(F.xxhash64("failure_id"), F.lit(n_blocks))
+    distinct = (
+        points.groupBy("cluster_id", "features")
+        .agg(F.count(F.lit(1)).alias("weight"))
+        .withColumn("point", F.monotonically_increasing_id())
+    )
+    distinct = materialise(distinct, "silhouette-points")
+    n = distinct.count()
+    n_blocks = silhouette_blocks(n, block_rows)
+    block = F.pmod(F.xxhash64("point"), F.lit(n_blocks)).cast("int")
     other = F.explode(F.sequence(F.lit(0), F.lit(n_blocks - 1)))
     sums = (
-        points.select("failure_id", "cluster_id", "features", block.cast("int").alias("block"))
+        distinct.withColumn("block", block)
         .withColumn("other", other)
         .withColumn("low", F.least("block", "other"))
         .withColumn("high", F.greatest("block", "other"))
+        .drop("other")
         # a fixed number of tasks: the cells are small to move but long to compute
-        .repartition(min(n_cells, MAX_SILHOUETTE_TASKS), "low", "high")
+        .repartition(n_blocks * (n_blocks + 1) // 2, "low", "high")
         .groupBy("low", "high")
         .applyInPandas(_block_sums, _SUMS)
-        .groupBy("failure_id", "cluster_id", "other_cluster")
-        .agg(F.sum("total").alias("total"), F.sum("n").alias("n"))
+        .groupBy("point", "other_cluster")
+        .agg(F.sum("total").alias("total"))
     )
+    sizes = distinct.groupBy(F.col("cluster_id").alias("other_cluster")).agg(F.sum("weight").alias("n"))
     own = F.col("other_cluster") == F.col("cluster_id")
-    means = sums.groupBy("failure_id", "cluster_id").agg(
-        # the point itself is among its cluster's n, at distance 0
-        F.max(F.when(own & (F.col("n") > 1), F.col("total") / (F.col("n") - 1))).alias("a"),
-        F.min(F.when(~own, F.col("total") / F.col("n"))).alias("b"),
+    means = (
+        sums.join(sizes, "other_cluster")
+        .join(distinct.select("point", "cluster_id"), "point")
+        .groupBy("point")
+        .agg(
+            # the point itself is among its cluster's n, at distance 0
+            F.max(F.when(own & (F.col("n") > 1), F.col("total") / (F.col("n") - 1))).alias("a"),
+            F.min(F.when(~own, F.col("total") / F.col("n"))).alias("b"),
+        )
     )
     a, b = F.col("a"), F.col("b")
     widest = F.greatest(a, b)
     score = F.when(a.isNull() | b.isNull() | (widest == 0), 0.0).otherwise((b - a) / widest)
-    return means.select("failure_id", "cluster_id", score.alias("silhouette"))
+    return distinct.join(means, "point", "left").withColumn("silhouette", score)
+
+
+def silhouette_samples(points: DataFrame, block_rows: int = SILHOUETTE_BLOCK) -> DataFrame:
+    """Exact Euclidean silhouette per point of ``(failure_id, cluster_id, features)``."""
+    scores = _point_silhouettes(points, block_rows).select(
+        F.col("cluster_id").alias("_c"), F.col("features").alias("_x"), "silhouette"
+    )
+    same = F.col("cluster_id").eqNullSafe(F.col("_c")) & F.col("features").eqNullSafe(F.col("_x"))
+    return points.join(scores, same).select("failure_id", "cluster_id", "silhouette")
 
 
 def silhouette_exact(points: DataFrame, k: int, block_rows: int = SILHOUETTE_BLOCK) -> DataFrame:
     """Mean silhouette as one row; 0 for k = 1, for n <= k or when one cluster holds all."""
-    scores = silhouette_samples(points, block_rows)
-    valid = (F.count(F.lit(1)) > k) & F.lit(k > 1)
-    return scores.agg(F.when(valid, F.avg("silhouette")).otherwise(0.0).alias("silhouette"))
+    scores = _point_silhouettes(points, block_rows)
+    n = F.sum("weight")
+    valid = (n > k) & F.lit(k > 1)
+    mean = F.sum(F.col("silhouette") * F.col("weight")) / n
+    return scores.agg(F.when(valid, mean).otherwise(0.0).alias("silhouette"))
 
 
 def silhouette_fast(points: DataFrame, k: int) -> float:
@@ -258,54 +291,99 @@ def load_model(centroids: DataFrame, scaler: DataFrame, run_id: str, version: st
 
 _SUMS = T.StructType(
     [
-        T.StructField("failure_id", T.LongType()),
-        T.StructField("cluster_id", T.IntegerType()),
+        T.StructField("point", T.LongType()),
         T.StructField("other_cluster", T.IntegerType()),
         T.StructField("total", T.DoubleType()),
-        T.StructField("n", T.LongType()),
     ]
 )
 
 
+@dataclass(frozen=True)
+class _Block:
+    """Points in order of their cluster, those without one first, and the sums found for them."""
+
+    ids: np.ndarray
+    x: np.ndarray
+    norms: np.ndarray
+    weight: np.ndarray
+    codes: np.ndarray
+    clusters: np.ndarray
+
+
+def _block(rows: pd.DataFrame) -> _Block:
+    codes, clusters = pd.factorize(rows["cluster_id"], sort=True)
+    x = np.stack(rows["features"].to_numpy())
+    norms = (x * x).sum(axis=1)
+    # points of like norm in one tile: few pairs are then looked at twice
+    order = np.lexsort((norms, codes))
+    x, norms = x[order], norms[order]
+    ids, weight = rows["point"].to_numpy()[order], rows["weight"].to_numpy()[order].astype(float)
+    return _Block(ids, x, norms, weight, codes[order], np.asarray(clusters))
+
+
 def _block_sums(key: tuple, cell: pd.DataFrame) -> pd.DataFrame:
     low, high = key
-    near = cell[cell["block"] == low]
-    far = cell[cell["block"] == high]
-    parts = list(_sums_towards(near, far))
+    none = pd.DataFrame({f.name: [] for f in _SUMS.fields})
+    blocks = [cell[cell["block"] == b] for b in sorted({low, high})]
+    if any(rows.empty for rows in blocks):
+        return none
+    near, far = _block(blocks[0]), _block(blocks[-1])
+    towards, back = _sums(near, far, low != high)
+    found = [_sum_rows(near, far, towards)]
     if low != high:
-        parts += list(_sums_towards(far, near))
-    if not parts:
-        return pd.DataFrame(columns=[f.name for f in _SUMS.fields])
-    return pd.concat(parts)
-
-
-def _sums_towards(points: pd.DataFrame, targets: pd.DataFrame) -> Iterator[pd.DataFrame]:
-    """Per point and cluster of ``targets``: summed distance and number of targets."""
-    if points.empty or targets.empty:
-        return
-    x = np.stack(points["features"].to_numpy())
-    for cluster, members in targets.groupby("cluster_id"):
-        y = np.stack(members["features"].to_numpy())
-        rows = max(1, PAIRS_AT_ONCE // len(y))
-        total = [_distances(x[i : i + rows], y).sum(axis=1) for i in range(0, len(x), rows)]
-        yield pd.DataFrame(
-            {
-                "failure_id": points["failure_id"].to_numpy(),
-                "cluster_id": points["cluster_id"].to_numpy(),
-                "other_cluster": cluster,
-                "total": np.concatenate(total),
-                "n": len(y),
-            }
-        )
+        found.append(_sum_rows(far, near, back))
+    return pd.concat(found)
+
+
+def _sum_rows(points: _Block, targets: _Block, total: np.ndarray) -> pd.DataFrame:
+    n = len(targets.clusters)
+    return pd.DataFrame(
+        {
+            "point": np.repeat(points.ids, n),
+            "other_cluster": np.tile(targets.clusters, len(points.ids)),
+            "total": total.ravel(),
+        }
+    )
 
 
-def _distances(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+def _sums(near: _Block, far: _Block, both: bool) -> tuple[np.ndarray, np.ndarray]:
+    """Weighted sums of distances per point of ``near`` and cluster of ``far``, and the other way round.
+
+    A last column takes the points without a cluster and is left out.
+    """
+    towards = np.zeros((len(near.ids), len(far.clusters) + 1))
+    back = np.zeros((len(far.ids), len(near.clusters) + 1))
+    height, width = TILE
+    for i in range(0, len(near.ids), height):
+        rows = slice(i, i + height)
+        row_runs = _runs(near.codes[rows])
+        for j in range(0, len(far.ids), width):
+            cols = slice(j, j + width)
+            away = _distances(near.x[rows], far.x[cols], near.norms[rows], far.norms[cols])
+            runs = _runs(far.codes[cols])
+            sums = np.add.reduceat(away * far.weight[cols], runs, axis=1)
+            towards[rows, far.codes[cols][runs]] += sums
+            if both:
+                away *= near.weight[rows][:, None]
+                back[cols, near.codes[rows][row_runs]] += np.add.reduceat(away, row_runs, axis=0).T
+    return towards[:, :-1], back[:, :-1]
+
+
+def _runs(codes: np.ndarray) -> np.ndarray:
+    """Where each run of equal codes begins."""
+    return np.concatenate([[0], np.flatnonzero(np.diff(codes)) + 1])
+
+
+def _distances(x: np.ndarray, y: np.ndarray, xn: np.ndarray, yn: np.ndarray) -> np.ndarray:
     """All distances by one matrix product; near-equal points are measured directly."""
-    norms = (x * x).sum(axis=1)[:, None] + (y * y).sum(axis=1)[None, :]
-    squares = norms - 2.0 * (x @ y.T)
-    close_x, close_y = np.nonzero(squares < 1e-4 * norms)
-    squares[close_x, close_y] = ((x[close_x] - y[close_y]) ** 2).sum(axis=1)
-    return np.sqrt(squares)
+    squares = x @ (-2.0 * y.T)
+    squares += xn[:, None]
+    squares += yn[None, :]
+    i, j = np.nonzero(squares < 1e-4 * (xn.max() + yn.max()))
+    close = squares[i, j] < 1e-4 * (xn[i] + yn[j])
+    i, j = i[close], j[close]
+    squares[i, j] = ((x[i] - y[j]) ** 2).sum(axis=1)
+    return np.sqrt(squares, out=squares)
 
 
 def _numbers(values: Sequence[float]) -> Column:

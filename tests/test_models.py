@@ -153,6 +153,43 @@ def test_silhouette_matches_brute_force(spark, block_rows):
     assert cl.silhouette_fast(df.filter("cluster_id = 0"), 3) == 0.0
 
 
+@pytest.mark.parametrize("block_rows", [7, 1000])
+def test_silhouette_of_copies_is_that_of_all_pairs(spark, block_rows):
+    """Equal points are measured once, with their number; in other clusters they are points of their own."""
+    rng = np.random.default_rng(5)
+    x = np.repeat(rng.normal(size=(12, 9)), 6, axis=0)
+    labels = np.tile([0, 0, 0, 1, 1, 2], 12)
+    d = np.sqrt(((x[:, None] - x[None]) ** 2).sum(2))
+    sums = np.stack([d[:, labels == c].sum(1) for c in range(3)], 1)
+    sizes = np.bincount(labels)
+    scores = []
+    for i, own in enumerate(labels):
+        a = sums[i, own] / (sizes[own] - 1)
+        b = min(sums[i, c] / sizes[c] for c in range(3) if c != own)
+        scores.append((b - a) / max(a, b))
+    df = spark.createDataFrame(
+        [(i, int(c), v.tolist()) for i, (c, v) in enumerate(zip(labels, x, strict=True))],
+        "failure_id bigint, cluster_id int, features array<double>",
+    )
+    got = cl.silhouette_samples(df, block_rows).orderBy("failure_id").collect()
+    assert [r["silhouette"] for r in got] == pytest.approx(scores)
+    assert cl.silhouette_exact(df, 3, block_rows).first()[0] == pytest.approx(np.mean(scores))
+
+
+def test_silhouette_sends_a_point_to_a_bounded_number_of_tasks(spark):
+    """However many points there are, only the blocks grow."""
+    n = 40 * cl.SILHOUETTE_BLOCKS
+    df = spark.range(n).select(
+        F.col("id").alias("failure_id"), (F.col("id") % 2).cast("int").alias("cluster_id"),
+        F.array(F.col("id").cast("double"), F.rand(1)).alias("features"),
+    )
+    cl.silhouette_exact(df, 2, block_rows=5).collect()
+    blocks = cl.silhouette_blocks(n, 5), cl.silhouette_blocks(2_000 * n, 5)
+    assert blocks == (cl.SILHOUETTE_BLOCKS, cl.SILHOUETTE_BLOCKS)
+    assert cl.silhouette_blocks(0, 5) == 1
+    assert cl.silhouette_blocks(100 * cl.MAX_SILHOUETTE_BLOCK) == 100
+
+
 def test_similarity_skips_sensors_without_spread(spark):
     means = spark.createDataFrame(
         [(0, 1, 0, 2.0, "A_mean"), (0, 1, 1, 5.0, "B_mean")],
