@@ -289,3 +289,46 @@ def test_score_uses_one_reading_features(spark, make_readings):
 def test_run_name(spark):
     name = spark.range(1).select(ds.run_name(F.lit(at(65)))).first()[0]
     assert name == "failure_analysis_20240101_0001"
+
+
+def test_scaler_over_many_tasks_and_odd_entries(spark):
+    rng = np.random.default_rng(6)
+    x = rng.normal(1e6, 1.0, size=(50, 4))
+    x[:, 3] = 0.1
+    rows = [(v.tolist(),) for v in x] + [(None,), ([1e6, None, 1e6, 0.1],)]
+    df = spark.createDataFrame(rows, "features array<double>").repartition(7)
+    got = {r["feature_pos"]: (r["mean"], r["scale"]) for r in cl.scaler_stats(df).collect()}
+    whole = np.vstack([x, [1e6, np.nan, 1e6, 0.1]])
+    assert [got[i][0] for i in range(4)] == pytest.approx(np.nanmean(whole, axis=0), rel=1e-14)
+    assert [got[i][1] for i in range(3)] == pytest.approx(np.nanstd(whole, axis=0)[:3], rel=1e-9)
+    assert got[3] == (0.1, 1.0)
+    assert cl.scaler_stats(df.filter("false")).count() == 0
+
+
+def test_scaler_and_assignment_make_no_row_or_lambda_per_entry(spark):
+    df = points(spark, [[1.0, 5.0], [3.0, 5.0]])
+    plan = cl.scaler_stats(df)._jdf.queryExecution().executedPlan().toString()
+    assert "Generate" not in plan
+    plan = cl.assign(df, [[0.0, 0.0]], mean=[0.0, 0.0], scale=[1.0, 1.0])
+    assert "lambda" not in plan._jdf.queryExecution().executedPlan().toString()
+
+
+def test_assignment_is_that_of_the_nearest_expression(spark):
+    rng = np.random.default_rng(7)
+    rows = [(i, v.tolist()) for i, v in enumerate(rng.normal(size=(200, 81)))]
+    rows += [(900, None), (901, [1.0] * 80), (902, [None] + [1.0] * 80), (903, [float("nan")] + [1.0] * 80)]
+    df = spark.createDataFrame(rows, "failure_id bigint, features array<double>")
+    centres = rng.normal(size=(3, 81)).tolist()
+    centres.append(centres[0])
+    mean, scale = rng.normal(size=81).tolist(), rng.uniform(0.5, 2, size=81).tolist()
+    scaled = df.withColumn("x", cl.scaled("features", mean, scale))
+    want = scaled.select("failure_id", cl.nearest("x", centres).alias("near"))
+    want = {r["failure_id"]: tuple(r["near"]) if r["near"] else (None, None) for r in want.collect()}
+    got = cl.assign(df, centres, mean=mean, scale=scale).collect()
+    assert {r["failure_id"]: (r["sq_distance"], r["cluster_id"]) for r in got} == want
+
+
+def test_first_points_are_those_of_the_lowest_ids(spark):
+    df = spark.createDataFrame([(5, [5.0]), (None, [0.0]), (3, [3.0]), (4, [4.0])], "failure_id bigint, features array<double>")
+    assert cl.first_points(df, 3) == [[0.0], [3.0], [4.0]]
+    assert cl.first_points(df.filter("false"), 3) == []
