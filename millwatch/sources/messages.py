@@ -13,6 +13,8 @@ from ..schemas import struct
 MAX_TOPIC_PARTITIONS = 4096
 # A micro-batch numbers its readings within so many bits.
 BATCH_BITS = 40
+# Readings that one task numbers.
+ROWS_PER_RANK_CELL = 125_000
 
 # Values are read as text, so that one that is no number does not spoil its message.
 _CHECKED = struct(
@@ -119,7 +121,8 @@ def with_reading_id(decoded: DataFrame, batch_id: int = 0) -> DataFrame:
         )
         key = F.col("offset") * MAX_TOPIC_PARTITIONS + part
         return decoded.withColumn("reading_id", key.cast("bigint")).drop("partition", "offset")
-    ranked = with_global_rank(decoded.withColumn("_hash", F.xxhash64("raw")), "timestamp", "_hash")
+    hashed = decoded.withColumn("_hash", F.xxhash64("raw"))
+    ranked = with_global_rank(hashed, "timestamp", "_hash", rows_per_cell=ROWS_PER_RANK_CELL)
     first = batch_id << BATCH_BITS
     return ranked.withColumn("reading_id", F.col("rank") + first).drop("rank", "_hash")
 

@@ -100,7 +100,7 @@ def ingest_batch(
         if once:
             valid = delivery.keep_once(valid, batch_id, root)
         numbered = messages.with_reading_id(valid, batch_id)
-        touched = sorted(r[0] for r in numbered.select(bucket_of("machine_id")).distinct().collect())
+        touched, days = _places(valid)
         state = read_state(spark, root, batch_id - 1, touched)
         known = state.select("machine_id", F.col("timestamp").alias("_last"))
         # one row per machine on the right: a hot machine's readings may be split by the join
@@ -110,6 +110,10 @@ def ingest_batch(
             .withColumn("late", F.coalesce(F.col("timestamp") < F.col("_last"), F.lit(False)))
             .drop("_last")
         )
+        # numbered once: what follows reads these rows several times
+        path = tables.slot(f"{root}/arrived", batch_id)
+        placed.write.mode("overwrite").parquet(path)
+        placed = spark.read.schema(placed.schema).parquet(path)
         on_time, late = placed.filter(~F.col("late")), placed.filter("late")
         repaired = None
         if not late.isEmpty():
@@ -125,7 +129,6 @@ def ingest_batch(
         if repaired is not None:
             linked = linked.unionByName(repaired.filter("is_new").select(*linked.columns))
         tables.write_batch(linked, f"{root}/linked", batch_id, LINKED, by_date="timestamp")
-        days = tables.days_of(numbered)
         stored = tables.read_days(spark, f"{root}/linked", LINKED, days, batch_id).filter(~F.col("late"))
         changes = episode_changes(stored, state, 2 * batch_id + 1)
         if repaired is not None:
@@ -142,6 +145,13 @@ def bucket_of(machine: str) -> Column:
     return F.pmod(F.xxhash64(machine), F.lit(BUCKETS)).cast("int").alias("bucket")
 
 
+def _places(readings: DataFrame) -> tuple[list[int], list[str]]:
+    """Buckets of the machines and days that the readings of one micro-batch fall on, found in one pass."""
+    places = readings.select(bucket_of("machine_id"), F.to_date("timestamp").alias("day"))
+    found = places.agg(F.collect_set("bucket"), F.collect_set("day")).first()
+    return sorted(found[0]), sorted(d.isoformat() for d in found[1])
+
+
 def next_state(state: DataFrame, linked: DataFrame) -> DataFrame:
     """The state after the given readings; machines without new readings keep theirs.
 
