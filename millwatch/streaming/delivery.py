@@ -39,6 +39,10 @@ def keep_once(
     a message delivered very often is no hot key.
     """
     spark = accepted.sparkSession
+    # decoded once: what follows reads these rows several times
+    path = tables.slot(f"{root}/delivery_input", batch_id)
+    accepted.write.mode("overwrite").parquet(path)
+    accepted = spark.read.schema(accepted.schema).parquet(path)
     on_time = accepted
     if delay_minutes is not None:
         latest = _latest(spark, root, batch_id)
