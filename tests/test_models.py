@@ -1,5 +1,8 @@
 
+import tracemalloc
+
 import numpy as np
+import pandas as pd
 import pytest
 from conftest import at
 from pyspark.sql import functions as F
@@ -11,6 +14,7 @@ from millwatch.operators import episodes as ep
 from millwatch.operators import features as ft
 from millwatch.operators import registry
 from millwatch.operators import scoring as sc
+from millwatch.plans import on_models
 from millwatch.plans import train as tr
 from millwatch.schemas import CLUSTERS, VERSIONS
 from millwatch.sources import tables
@@ -332,3 +336,33 @@ def test_first_points_are_those_of_the_lowest_ids(spark):
     df = spark.createDataFrame([(5, [5.0]), (None, [0.0]), (3, [3.0]), (4, [4.0])], "failure_id bigint, features array<double>")
     assert cl.first_points(df, 3) == [[0.0], [3.0], [4.0]]
     assert cl.first_points(df.filter("false"), 3) == []
+
+
+def test_distance_sums_use_the_space_of_one_tile():
+    """Sums against brute force, with equal, nearly equal and unclustered points, in tiles that are made once."""
+    rng = np.random.default_rng(4)
+    x = rng.normal(size=(3_000, 5)) + 100
+    x[1] = x[0]
+    x[2_000] = x[3] + 1e-9
+    clusters = pd.array(rng.integers(0, 3, len(x)), dtype="Int32")
+    clusters[::50] = pd.NA
+    rows = pd.DataFrame({"point": range(len(x)), "cluster_id": clusters, "features": list(x), "weight": 1 + rng.integers(0, 3, len(x))})
+    near, far = cl._block(rows[:1_000]), cl._block(rows[1_000:])
+    tracemalloc.start()
+    towards, back = cl._sums(near, far, True)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    tile = 8 * cl.TILE[0] * cl.TILE[1]
+    assert peak - towards.nbytes - back.nbytes < 1.75 * tile
+    away = np.sqrt(((x[near.ids][:, None] - x[far.ids][None]) ** 2).sum(axis=2))
+    for code in range(3):
+        assert np.allclose(towards[:, code], away @ np.where(far.codes == code, far.weight, 0.0), rtol=1e-11, atol=0)
+        assert np.allclose(back[:, code], np.where(near.codes == code, near.weight, 0.0) @ away, rtol=1e-11, atol=0)
+
+
+def test_run_record_links_readings_once(spark, monkeypatch):
+    calls = []
+    link = on_models.linked_failing
+    monkeypatch.setattr(on_models, "linked_failing", lambda *a: calls.append(a) or link(*a))
+    assert on_models.run_record(spark, "/root/testdata/sf0.001").count() == 2
+    assert len(calls) == 1
