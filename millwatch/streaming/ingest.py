@@ -121,7 +121,10 @@ def ingest_batch(
             path = tables.slot(f"{root}/repaired", batch_id)
             repair.relinked(late, region, rows_per_cell).write.mode("overwrite").parquet(path)
             repaired = spark.read.parquet(path)
-            state = next_state(state, repaired)
+            # one row per machine, written once: it is read by the link, the changes and the next state
+            path = tables.slot(f"{root}/repaired_state", batch_id)
+            next_state(state, repaired).write.mode("overwrite").parquet(path)
+            state = spark.read.schema(STATE).parquet(path)
             fixes = repair.corrections(repaired)
             tables.write_batch(fixes, f"{root}/corrections", batch_id, repair.CORRECTIONS, by_date="timestamp")
         carried = state.join(on_time.select("machine_id").distinct(), "machine_id", "left_semi")

@@ -48,7 +48,7 @@ def corrected(readings: DataFrame, corrections: DataFrame) -> DataFrame:
 
 @dataclass(frozen=True)
 class Region:
-    """The readings that late ones may change, and each machine's last reading before them."""
+    """The readings that late ones may change, without values, and each machine's last reading before them."""
 
     rows: DataFrame
     before: DataFrame
@@ -79,10 +79,12 @@ def region(late: DataFrame, state: DataFrame, root: str, batch_id: int, linked:
         stored = tables.read_days(spark, f"{root}/linked", linked, days).filter(F.col("batch_id") < batch_id)
         fixes = tables.read_days(spark, f"{root}/corrections", CORRECTIONS, days)
         fixes = fixes.filter(F.col("batch_id") < batch_id)
-        near = corrected(
-            stored.join(spans, "machine_id").filter(F.to_date("timestamp").between(F.col("lo"), F.col("hi"))),
-            fixes,
-        )
+        inside = F.to_date("timestamp").between(F.col("lo"), F.col("hi"))
+        # written once, without the values, which no link needs: what follows reads these rows several times
+        near = corrected(stored.drop("values").join(spans, "machine_id").filter(inside), fixes)
+        path = tables.slot(f"{root}/late_region", batch_id)
+        near.write.mode("overwrite").parquet(path)
+        near = spark.read.schema(near.schema).parquet(path)
         at = F.struct("timestamp", "reading_id")
         ends = near.groupBy("machine_id").agg(
             F.max(F.when(F.col("timestamp") < F.col("t0"), at)).alias("before"),
@@ -107,7 +109,7 @@ def region(late: DataFrame, state: DataFrame, root: str, batch_id: int, linked:
     placed = near.join(edges, "machine_id")
     inside = (F.col("timestamp") >= F.col("t0")) & (F.col("until").isNull() | (at <= F.col("until")))
     last = at == F.col("before")
-    kept = [f.name for f in READINGS.fields if f.name not in LINK_COLUMNS]
+    kept = [f.name for f in READINGS.fields if f.name not in (*LINK_COLUMNS, "values")]
     return Region(
         placed.filter(inside).select(*kept, *LINK_COLUMNS),
         placed.filter(last).select("machine_id", "timestamp", "reading_id", "failure_id", "failure_start"),

@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from millwatch.sources import messages, tables
-from millwatch.streaming import delivery, ingest
+from millwatch.streaming import delivery, ingest, repair
 
 
 def plan(df):
@@ -22,6 +22,24 @@ def test_readings_of_a_batch_are_numbered_once(make_readings, tmp_path, monkeypa
     assert len(seen) == 1 and "row_number" not in seen[0] and "from_json" not in seen[0]
 
 
+def test_a_region_and_the_state_after_it_are_worked_out_once(make_readings, tmp_path, monkeypatch):
+    regions, carried = [], []
+    relinked, link = repair.relinked, ingest.link_episodes
+    monkeypatch.setattr(repair, "relinked", lambda late, found, n: regions.append(found) or relinked(late, found, n))
+    monkeypatch.setattr(ingest, "link_episodes", lambda rows, state, n: carried.append(plan(state)) or link(rows, state, n))
+    rows = make_readings([("a", 0, True), ("a", 4, True), ("a", 9, False), ("a", 2, False), ("a", 12, True)])
+    for part in (F.col("reading_id") < 3, F.col("reading_id") >= 3):
+        batch = messages.encode(rows.filter(part)).select("value")
+        ingest.ingest_batch(batch, len(carried), str(tmp_path))
+    (found,) = regions
+    assert "values" not in found.rows.columns and "reading_id" in found.rows.columns
+    assert "Aggregate" not in plan(found.rows) and "max_by" not in carried[1]
+    stored = ingest.current_readings(found.rows.sparkSession, str(tmp_path)).orderBy("timestamp").collect()
+    assert [r["values"] for r in stored] == [{"Sensor 1": float(i)} for i in (0, 3, 1, 2, 4)]
+    episodes = ingest.current_failures(found.rows.sparkSession, str(tmp_path)).collect()
+    assert sorted(r["n_readings"] for r in episodes) == [1, 1, 1]
+
+
 def test_messages_are_decoded_once_for_delivery(make_readings, tmp_path, monkeypatch):
     seen, days = [], tables.days_of
     monkeypatch.setattr(tables, "days_of", lambda df: seen.append(plan(df)) or days(df))
