@@ -181,9 +181,10 @@ def stream_compaction(spark: SparkSession, sf_dir: str) -> DataFrame:
 def scored_stream(spark: SparkSession, sf_dir: str) -> str:
     """Linked readings arriving in parts, scored by a published model."""
     root = scratch_path(spark, "scoring")
-    tr.publish(spark, root, training(spark, sf_dir), as_of())
+    # linked once, for training and for scoring
     linked = link_episodes(views.readings(spark, sf_dir))
     rows = tables.materialise(tables.conform(linked, ingest.LINKED), "linked")
+    tr.publish(spark, root, training(spark, sf_dir, linked=rows), as_of())
 
     def send(part: DataFrame) -> None:
         part.write.mode("append").parquet(f"{root}/readings")

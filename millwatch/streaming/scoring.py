@@ -19,6 +19,9 @@ from ..sources import tables
 
 LOG = logging.getLogger(__name__)
 
+# Predictions that one task numbers.
+ROWS_PER_BATCH_CELL = 125_000
+
 
 def start_scoring(
     readings: DataFrame,
@@ -114,7 +117,7 @@ def update_drift(
     last, width = state.agg(F.max("batch_no"), F.max(F.size("freqs"))).first()
     first_new = 0 if last is None else last + 1
     k = max(k, width or 0)
-    numbered = sc.with_batch_no(predictions, batch_size).withColumn(
+    numbered = sc.with_batch_no(predictions, batch_size, ROWS_PER_BATCH_CELL).withColumn(
         "batch_no", F.col("batch_no") + first_new
     )
     path = f"{root}/distributions"

@@ -2,8 +2,9 @@
 
 from pyspark.sql import functions as F
 
+from millwatch.plans import on_models, on_streams
 from millwatch.sources import messages, tables
-from millwatch.streaming import delivery, ingest, repair
+from millwatch.streaming import delivery, ingest, repair, scoring
 
 
 def plan(df):
@@ -56,3 +57,22 @@ def test_many_cells_number_as_one(spark, monkeypatch):
     want = {r["raw"]: r["reading_id"] for r in messages.with_reading_id(rows, 2).collect()}
     monkeypatch.setattr(messages, "ROWS_PER_RANK_CELL", 50)
     assert {r["raw"]: r["reading_id"] for r in messages.with_reading_id(rows, 2).collect()} == want
+
+
+def test_scored_readings_are_linked_once_and_numbered_in_small_cells(spark, monkeypatch):
+    links, cells = [], []
+    link, train, number = on_streams.link_episodes, on_models.linked_failing, scoring.sc.with_batch_no
+    monkeypatch.setattr(on_streams, "link_episodes", lambda *a: links.append("stream") or link(*a))
+    monkeypatch.setattr(on_models, "linked_failing", lambda *a: links.append("training") or train(*a))
+    monkeypatch.setattr(scoring.sc, "with_batch_no", lambda rows, *a: cells.append(a[1:]) or number(rows, *a))
+    on_streams.scored_stream(spark, "/root/testdata/sf0.001")
+    assert links == ["stream"]
+    assert len(cells) == on_streams.PARTS and set(cells) == {(125_000,)}
+
+
+def test_batches_are_the_same_in_cells_of_any_size(spark):
+    rows = spark.range(2000).select(
+        F.col("id").alias("reading_id"), F.timestamp_seconds(F.pmod(F.xxhash64("id"), F.lit(300))).alias("timestamp")
+    )
+    want = {tuple(r) for r in scoring.sc.with_batch_no(rows, 100).select("reading_id", "batch_no").collect()}
+    assert {tuple(r) for r in scoring.sc.with_batch_no(rows, 100, 60).select("reading_id", "batch_no").collect()} == want
